@@ -1,0 +1 @@
+"""Every job here is a daily batch, so this package holds no streaming operator."""
