@@ -7,7 +7,9 @@ Each entry of ``CTES`` is one SELECT that may read test tables, warehouse roles
 from __future__ import annotations
 
 from checks.roles import BASE, ROLES, mentions, role_sql
-from checks.terms import coefficient_select, fault_name_select, score_sql, weight_select
+from checks import terms as tt
+from hammerline.functions.scoring import NONTRUSTEE_MODELS, SALE_TERMS, TRUSTEE_MODELS, VALUATION_MODEL
+from hammerline.operators.publish import UNIFIED
 
 AS_OF = "DATE '2001-05-15'"
 FIVE_BACK = "DATE '2000-12-15'"
@@ -268,6 +270,244 @@ CTES["feature_trustee_scoring"] = _TFEATURE.format(
     keep=f"WHERE fa.AuctionDate >= {AS_OF}", fav="coalesce(fv.Favorites, 0)")
 
 
+# ---- single rules ---------------------------------------------------------------------------
+CTES["sane_valuation"] = """
+  SELECT * EXCLUDE (BPO), CASE WHEN BPOSurplusPct >= 5 OR BPOSurplusPct < -0.9 THEN NULL ELSE BPO END AS BPO FROM feature"""
+CTES["outcome"] = "SELECT * EXCLUDE (IsSubjectToApproval), coalesce(IsSubjectToApproval, 0) AS IsSubjectToApproval FROM feature"
+CTES["priced"] = """
+  SELECT f.PropertyId, f.AuctionId, f.VenueId, f.Reserve, d.PropertyState, a.AuctionCode FROM fact_auction f
+  LEFT JOIN dim_property d ON f.PropertyId = d.PropertyId LEFT JOIN dim_auction a ON f.AuctionId = a.AuctionId"""
+CTES["tercile"] = f"""
+  SELECT *, CASE WHEN t = 1 THEN 1 ELSE 0 END AS ValueLevel_Low, CASE WHEN t = 2 THEN 1 ELSE 0 END AS ValueLevel_Med,
+         CASE WHEN t = 3 THEN 1 ELSE 0 END AS ValueLevel_High, CASE t WHEN 1 THEN 'Low' WHEN 2 THEN 'Med' ELSE 'High' END AS ValueLevel
+  FROM (SELECT *, ntile(3) OVER (PARTITION BY PropertyState ORDER BY Reserve NULLS FIRST, {KEY}) AS t FROM priced) q"""
+CTES["event_size"] = """
+  SELECT *, count(AuctionCode) OVER (PARTITION BY AuctionCode) AS EventSize,
+         count(AuctionCode) OVER (PARTITION BY AuctionCode, PropertyState) AS StateEventSize FROM priced"""
+
+# ---- imputation -----------------------------------------------------------------------------
+_F = ("Turnover", "Appreciation", "MedianPPSQFT", "MedianPPSQFTDeviation", "ForeclosedPer10000", "PrevForeclosureSoldRate", "PercentHomesSold")
+_GAP = "(PropertyId % 7 = 0 OR PropertyCounty IN ('NATION_3', 'NATION_12') OR PropertyState = 'EUROPE')"
+_GAPPED = [m for m in _F if m != "MedianPPSQFTDeviation"]
+CTES["gappy"] = f"""
+  SELECT * EXCLUDE ({', '.join(_GAPPED)}, TotalHomesForSale), {', '.join(f'CASE WHEN {_GAP} THEN NULL ELSE {m} END AS {m}' for m in _GAPPED)},
+         CASE WHEN PropertyId % 5 = 0 THEN NULL ELSE TotalHomesForSale END AS TotalHomesForSale FROM feature"""
+CTES["filled"] = f"""
+  SELECT g.* EXCLUDE ({', '.join(_F)}),
+    {', '.join(f"""CASE WHEN g.Turnover IS NOT NULL THEN g.{m} WHEN c.Turnover IS NOT NULL THEN c.{m}
+      WHEN s.Turnover IS NOT NULL THEN s.{m} ELSE n.{m} END AS {m}""" for m in _F)}
+  FROM gappy g
+  LEFT JOIN (SELECT PropertyState, PropertyCounty, {', '.join(f'avg({m}) AS {m}' for m in _F)} FROM gappy GROUP BY 1, 2) c
+    ON g.PropertyState = c.PropertyState AND g.PropertyCounty = c.PropertyCounty
+  LEFT JOIN (SELECT PropertyState, {', '.join(f'avg({m}) AS {m}' for m in _F)} FROM gappy GROUP BY 1) s ON g.PropertyState = s.PropertyState
+  CROSS JOIN (SELECT {', '.join(f'median({m}) AS {m}' for m in _F)} FROM gappy) n"""
+CTES["repaired"] = """
+  SELECT f.PropertyId, f.AuctionId, f.VenueId, CASE WHEN Age > 200 THEN mAge ELSE Age END AS Age, coalesce(LotSize, 0.1) AS LotSize,
+         CASE WHEN Bedrooms < 0 OR Bedrooms IS NULL THEN mBed ELSE Bedrooms END AS Bedrooms, CASE WHEN Baths < 0 THEN mBath ELSE Baths END AS Baths,
+         CASE WHEN HomeSquareFootage < 100 OR HomeSquareFootage IS NULL THEN mFeet ELSE HomeSquareFootage END AS HomeSquareFootage,
+         ceil(Favorites * 1.0e0 / nullif(RunNum, 0)) AS Favorites, coalesce(TotalActive, mAct) AS TotalActive, coalesce(Vacancy, mVac) AS Vacancy
+  FROM feature f LEFT JOIN (
+    SELECT PropertyState, median(CASE WHEN Age < 200 THEN Age END) AS mAge, median(CASE WHEN Bedrooms > 0 THEN Bedrooms END) AS mBed,
+           median(CASE WHEN Baths > 0 THEN Baths END) AS mBath, avg(CASE WHEN HomeSquareFootage >= 100 THEN HomeSquareFootage END) AS mFeet,
+           median(TotalActive) AS mAct, median(Vacancy) AS mVac FROM feature GROUP BY 1) s ON f.PropertyState = s.PropertyState"""
+_S2 = ("Turnover", "Appreciation", "MedianPPSQFT", "ForeclosedPer10000", "PrevForeclosureSoldRate")
+CTES["second_step"] = f"""
+  SELECT g.PropertyId, g.AuctionId, g.VenueId, {', '.join(f'CASE WHEN g.Turnover IS NULL THEN s.{m} ELSE g.{m} END AS {m}' for m in (*_S2, 'PercentHomesSold', 'TotalHomesForSale'))},
+         s.PercentHomesSold AS sp, s.TotalHomesForSale AS st,
+         CASE WHEN g.TotalActive IS NULL THEN s.TotalActive ELSE g.TotalActive END AS TotalActive,
+         CASE WHEN g.TotalActive IS NULL THEN s.Vacancy ELSE g.Vacancy END AS Vacancy
+  FROM gappy g LEFT JOIN (SELECT PropertyState, {', '.join(f'avg({m}) AS {m}' for m in (*_S2, 'PercentHomesSold', 'TotalHomesForSale', 'TotalActive', 'Vacancy'))}
+                          FROM gappy WHERE Reserve IS NOT NULL GROUP BY 1) s ON g.PropertyState = s.PropertyState WHERE g.Reserve IS NOT NULL"""
+CTES["second_filled"] = f"""
+  SELECT PropertyId, AuctionId, VenueId, {', '.join(_S2)}, CASE WHEN TotalHomesForSale IS NULL THEN sp ELSE PercentHomesSold END AS PercentHomesSold,
+         coalesce(TotalHomesForSale, st) AS TotalHomesForSale, TotalActive, Vacancy, 0 AS TrueSold, 0.0e0 AS HighBid FROM second_step"""
+_NEED = ("C2C_Flag REO_Flag ShortSale_Flag Trustee_Flag Condition_poor Condition_fair Condition_average Condition_good Condition_unknown "
+         "PropertyOccupancyStatus_Occupied PropertyOccupancyStatus_Unknown PropertyOccupancyStatus_Vacant FinancingAvailable Favorites TotalActive "
+         "Vacancy Appreciation Turnover MedianPPSQFT Reserve BPOSurplus ValueLevel_Low ValueLevel_Med ValueLevel_High RunNum HasPrevAttempts "
+         "BPOSurplusPct TotalRegistrantScore IntrinsicBidderQuality MedianPPSQFTDeviation").split()
+CTES["complete_case"] = f"""
+  SELECT PropertyId, AuctionId, VenueId, CASE WHEN AuctionDate < {HOLDOUT} THEN 'train' ELSE 'score' END AS Side FROM feature
+  WHERE PropertyState IN (SELECT PropertyState FROM feature GROUP BY 1 HAVING count(*) > 30) AND {' AND '.join(f'{c} IS NOT NULL' for c in _NEED)}"""
+_DEC = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+CTES["decile_list"] = f"SELECT PropertyState, quantile_cont(Reserve, {_DEC}) AS b FROM feature GROUP BY 1"
+CTES["decile"] = "SELECT PropertyState, i - 1 AS Place, b[i] AS Value FROM decile_list, (SELECT unnest(range(1, 12)) AS i) n"
+CTES["quintile_trustee"] = """
+  SELECT PropertyState, i - 1 AS Place, b[i] AS Value
+  FROM (SELECT PropertyState, quantile_cont(Reserve, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS b FROM feature_trustee_scoring GROUP BY 1) q,
+       (SELECT unnest(range(1, 7)) AS i) n"""
+_BUCKET = """
+  SELECT f.PropertyState, d.Place, min(f.BPO) AS Value FROM {src} f
+  JOIN (SELECT a.PropertyState, a.Place, a.Value AS lo, b.Value AS hi FROM {dec} a JOIN {dec} b ON a.PropertyState = b.PropertyState AND b.Place = a.Place + 1) d
+    ON f.PropertyState = d.PropertyState AND f.Reserve BETWEEN d.lo AND d.hi GROUP BY 1, 2
+  UNION ALL SELECT PropertyState, 10, max(BPO) FROM {src} GROUP BY 1"""
+CTES["bucket_low_list"] = _BUCKET.format(src="feature", dec="decile")
+CTES["unvalued"] = """
+  SELECT * EXCLUDE (BPO), CASE WHEN PropertyId % 5 = 0 THEN NULL ELSE BPO END AS BPO, MedianPPSQFT * HomeSquareFootage - 60000 AS Predicted FROM feature"""
+CTES["bucket_unvalued"] = _BUCKET.format(src="unvalued", dec="decile")
+CTES["placed"] = """
+  SELECT u.PropertyId, u.AuctionId, u.VenueId, u.PropertyState, u.Reserve, u.BPO, u.AuctionDate, u.StartingBid, u.Predicted,
+         CAST(floor(count(CASE WHEN d.Value < u.Reserve THEN 1 END) + 1 + count(CASE WHEN d.Value = u.Reserve THEN 1 END) / 2.0) AS INTEGER) - 1 AS Place
+  FROM unvalued u LEFT JOIN decile d ON u.PropertyState = d.PropertyState GROUP BY ALL"""
+CTES["mixed"] = """
+  SELECT q.*, (4 * CASE WHEN p >= 3 * Reserve THEN 3 * Reserve ELSE p END + b.Value) / 5 AS m
+  FROM (SELECT *, CASE WHEN Predicted <= 0 OR Predicted IS NULL THEN coalesce(StartingBid, 0) ELSE Predicted END AS p FROM placed) q
+  LEFT JOIN bucket_unvalued b ON q.PropertyState = b.PropertyState AND q.Place = b.Place"""
+CTES["blended"] = f"""
+  SELECT *, BPO - Reserve AS BPOSurplus, (BPO - Reserve) / nullif(Reserve, 0) AS BPOSurplusPct FROM (
+    SELECT PropertyId, AuctionId, VenueId, Reserve, CASE WHEN BPO IS NULL AND AuctionDate >= {HOLDOUT}
+           THEN (CASE WHEN m >= 3 * Reserve THEN 3 * Reserve ELSE m END) ELSE BPO END AS BPO FROM mixed) q"""
+CTES["estimate"] = """
+  SELECT GlobalPropertyId, avg(v) AS ExternalEstimate FROM (
+    SELECT TRY_CAST(regexp_extract(url, '/(\\d+)', 1) AS BIGINT) AS GlobalPropertyId,
+           CASE WHEN page_id % 9 = 0 THEN NULL WHEN page_id % 10 = 0 THEN 0 ELSE page_id * 1000 END AS v FROM pages) q
+  WHERE GlobalPropertyId IS NOT NULL AND v > 0 GROUP BY 1"""
+CTES["estimate_filled"] = """
+  SELECT u.PropertyId, u.AuctionId, u.VenueId, coalesce(u.BPO, e.ExternalEstimate) AS BPO, coalesce(u.BPO, e.ExternalEstimate) - u.Reserve AS BPOSurplus,
+         CASE WHEN u.BPO IS NULL THEN 1 ELSE 0 END AS IsPredictedBPO, coalesce(e.ExternalEstimate, 0) AS ExternalEstimate,
+         replace(u.SellerName, ',', '') AS SellerName, replace(u.PropertyCity, ',', '') AS PropertyCity
+  FROM unvalued u LEFT JOIN estimate e ON u.PropertyId = e.GlobalPropertyId"""
+
+# ---- scores ---------------------------------------------------------------------------------
+for _m in tt.MODELS:
+    CTES[f"coef_{_m}"] = tt.coefficient_select(_m)
+
+
+def _scored(source: str, models, bound: str) -> str:
+    scores = ", ".join(f"{tt.score_sql(m.name)} AS {m.output}" for m in models)
+    joins = " ".join(f"JOIN coef_{m.name} c_{m.name} ON a.PropertyState = c_{m.name}.PropertyState" for m in models)
+    return f"""SELECT a.*, CASE WHEN a.BPO < {bound} * a.Reserve OR a.BPO IS NULL THEN 1.2 * a.Reserve ELSE a.BPO END AS FunctionalBPO,
+      {scores} FROM {source} a {joins}"""
+
+
+CTES["scored"] = _scored("feature_scoring", (*NONTRUSTEE_MODELS, VALUATION_MODEL), "0.15")
+CTES["scored_training"] = _scored("feature", (*NONTRUSTEE_MODELS, VALUATION_MODEL), "0.15")
+CTES["scored_trustee"] = _scored("feature_trustee_scoring", TRUSTEE_MODELS, "0.1")
+_SA = "(CASE WHEN SellerAcceptedSalePrediction < ExceedReservePrediction THEN ExceedReservePrediction ELSE SellerAcceptedSalePrediction END)"
+_ORDERED = """SELECT * EXCLUDE (AuctionDaySalePrediction, SellerAcceptedSalePrediction), {sa} AS SellerAcceptedSalePrediction,
+  CASE WHEN AuctionDaySalePrediction < {sa} THEN {sa} ELSE AuctionDaySalePrediction END AS AuctionDaySalePrediction FROM {src}"""
+CTES["ordered"] = _ORDERED.format(sa=_SA, src="scored")
+CTES["ordered_training"] = _ORDERED.format(sa=_SA, src="scored_training")
+CTES["capped"] = """
+  SELECT * EXCLUDE (StartingBid), coalesce(StartingBid, (SELECT min(StartingBid) FROM ordered)) AS StartingBid,
+         CASE WHEN RecommendedMaxReservePrice > 1.5 * Reserve AND RecommendedMaxReservePrice > 200000 THEN 1.5 * Reserve
+              ELSE RecommendedMaxReservePrice END AS capped_price FROM ordered"""
+CTES["ruled"] = """
+  SELECT *, CASE WHEN AuctionDaySalePrediction < 0.5 AND capped_price < Reserve THEN capped_price - Reserve ELSE 0 END AS ReserveRedux,
+         CASE WHEN capped_price < StartingBid THEN StartingBid ELSE capped_price END AS HighBidPrediction FROM capped"""
+CTES["banded"] = """
+  SELECT *, CASE WHEN AuctionDaySalePrediction >= 0.8 THEN 'High' WHEN AuctionDaySalePrediction >= 0.5 THEN 'Moderate'
+                 WHEN AuctionDaySalePrediction >= 0.1 THEN 'Borderline' ELSE 'Low' END AS SaleLikelihood FROM ordered"""
+CTES["accept_model"] = tt.ACCEPTANCE_MODELS
+_PICK = "coalesce(o.{0}, h.{0}, (SELECT arg_max({0}, Position) FROM accept_model))"
+CTES["accepted"] = f"""
+  SELECT q.*, 1 / (1 + exp(-(b0 + b1 * s + b2 * s * s + b3 * s * s * s))) AS AcceptancePrediction FROM (
+    SELECT f.PropertyId, f.AuctionId, f.VenueId, {_PICK.format('intercept')} AS b0, {_PICK.format('b1')} AS b1, {_PICK.format('b2')} AS b2,
+           {_PICK.format('b3')} AS b3, greatest(1 - f.BPO * 0.7 / nullif(f.Reserve, 0), 0) AS s
+    FROM feature f
+    LEFT JOIN (SELECT * FROM accept_model QUALIFY row_number() OVER (PARTITION BY SellerCode, PropertyState ORDER BY Position) = 1) o
+      ON f.SellerCode = o.SellerCode AND f.PropertyState = o.PropertyState
+    LEFT JOIN (SELECT * FROM accept_model WHERE PropertyState = 'ASIA' QUALIFY row_number() OVER (PARTITION BY SellerCode ORDER BY Position) = 1) h
+      ON f.SellerCode = h.SellerCode) q"""
+
+# ---- explanations ---------------------------------------------------------------------------
+CTES["fault_weight"] = tt.weight_select()
+CTES["fault_weight_trustee"] = tt.weight_select(True)
+for _n, _src, _tr in (("contribution", "feature_scoring", False), ("contribution_trustee", "feature_trustee_scoring", True)):
+    CTES[_n] = f"""
+  SELECT a.GlobalPropertyId, a.PropertyId, a.AuctionId, a.VenueId, w.PropertyFaultVariable, w.PropertyFaultName,
+         {tt.contribution_sql(_tr)} AS ComponentValue FROM {_src} a JOIN fault_weight{'_trustee' if _tr else ''} w ON a.PropertyState = w.PropertyState"""
+_TOP = """
+  SELECT {key}, max(CASE WHEN n = 1 THEN PropertyFaultName END) AS Negative1, max(CASE WHEN n = 2 THEN PropertyFaultName END) AS Negative2
+  FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ComponentValue, PropertyFaultVariable, PropertyFaultName{more}) AS n
+        FROM {src} WHERE ComponentValue IS NOT NULL AND PropertyFaultVariable NOT IN ('Intercept', 'Reserve')) q
+  WHERE n <= 2 GROUP BY {key} HAVING count(*) = 2"""
+CTES["top_two"] = _TOP.format(key=KEY, src="contribution", more="")
+CTES["top_two_trustee"] = _TOP.format(key=KEY, src="contribution_trustee", more="")
+CTES["top_two_property"] = _TOP.format(key="GlobalPropertyId", src="contribution", more=f", {KEY}")
+CTES["top_two_shared"] = """
+  SELECT a.PropertyId, a.AuctionId, a.VenueId, t.Negative1, t.Negative2 FROM feature_scoring a
+  JOIN top_two_property t ON a.GlobalPropertyId = t.GlobalPropertyId WHERE a.PropertyState IN (SELECT PropertyState FROM fault_weight)"""
+CTES["sale_long"] = tt.coefficient_long_select("auction_day_sale")
+CTES["price_long"] = tt.coefficient_long_select("high_bid")
+CTES["chosen_weight"] = """
+  SELECT s.PropertyState, s.term, CASE WHEN s.value = 0 THEN p.value / m.peak ELSE s.value END AS weight
+  FROM sale_long s LEFT JOIN price_long p ON s.PropertyState = p.PropertyState AND s.term = p.term
+  JOIN (SELECT PropertyState, max(abs(value)) AS peak FROM price_long WHERE term <> 'IntrinsicBidderQuality' GROUP BY 1) m
+    ON s.PropertyState = m.PropertyState WHERE s.term <> 'Intercept'"""
+CTES["fault_text"] = tt.fault_names_sql()
+_CAST = ", ".join(f"CAST({t} AS DOUBLE) AS {t}" for t in SALE_TERMS)
+_MASK = "('SFR_Flag', 'MultiResidence_Flag', 'C2C_Flag', 'REO_Flag', 'ShortSale_Flag', 'Trustee_Flag', 'Reserve')"
+for _n, _src in (("tall", "feature"), ("tall_second", "feature_scoring")):
+    CTES[_n] = f"""
+  SELECT * FROM (SELECT {KEY}, PropertyState, {_CAST} FROM {_src}) UNPIVOT (x FOR term IN ({', '.join(SALE_TERMS)}))"""
+CTES["centre"] = """
+  SELECT PropertyState, term, CASE WHEN bool_and(x = 0 OR x = 1) THEN 0 ELSE avg(x) END AS c FROM tall GROUP BY 1, 2"""
+for _n, _src, _all in (("centred", "tall", "feature"), ("centred_second", "tall_second", "feature_scoring")):
+    CTES[_n] = f"""
+  SELECT f.PropertyId, f.AuctionId, f.VenueId, coalesce(r.n1, 'Cannot Suggest Fault') AS Neg1, coalesce(r.n2, 'Cannot Suggest Fault') AS Neg2
+  FROM {_all} f LEFT JOIN (
+    SELECT {KEY}, max(CASE WHEN k = 1 AND (nxt IS NULL OR part < nxt) THEN name END) AS n1,
+           max(CASE WHEN k = 2 AND (nxt IS NULL OR part < nxt) AND part > prv THEN name END) AS n2
+    FROM (SELECT *, row_number() OVER w AS k, lead(part) OVER w AS nxt, lag(part) OVER w AS prv FROM (
+            SELECT t.PropertyId, t.AuctionId, t.VenueId, x.name, (t.x - c.c) * w.weight AS part FROM {_src} t
+            JOIN centre c ON t.PropertyState = c.PropertyState AND t.term = c.term
+            JOIN chosen_weight w ON t.PropertyState = w.PropertyState AND t.term = w.term JOIN fault_text x ON t.term = x.term
+            WHERE t.term NOT IN {_MASK} AND w.weight IS NOT NULL) q
+          WINDOW w AS (PARTITION BY {KEY} ORDER BY part, name)) z GROUP BY ALL) r
+    ON f.PropertyId = r.PropertyId AND f.AuctionId = r.AuctionId AND f.VenueId = r.VenueId"""
+
+# ---- publishing -----------------------------------------------------------------------------
+CTES["final"] = f"""
+  SELECT o.* EXCLUDE (RecommendedMaxReservePrice), o.IsSold AS AuctionDaySale, o.TrueSold AS SellerAcceptedSale, o.AuctionReserveSuccess AS ReserveExceeded,
+         CASE WHEN o.RecommendedMaxReservePrice < o.StartingBid THEN o.StartingBid ELSE o.RecommendedMaxReservePrice END AS RecommendedMaxReservePrice,
+         {AS_OF} AS ModelRunDate, t.Negative1, t.Negative2
+  FROM ordered o JOIN top_two t ON o.PropertyId = t.PropertyId AND o.AuctionId = t.AuctionId AND o.VenueId = t.VenueId"""
+CTES["final_trustee"] = f"""
+  SELECT o.* EXCLUDE (RecommendedMaxReservePrice, ThirdPartySaleIfAuctionedPrediction),
+         CASE WHEN ThirdPartySaleIfAuctionedPrediction < ThirdPartySaleOverallPrediction THEN ThirdPartySaleOverallPrediction
+              ELSE ThirdPartySaleIfAuctionedPrediction END AS ThirdPartySaleIfAuctionedPrediction,
+         CASE WHEN o.RecommendedMaxReservePrice < o.OpeningBid THEN o.OpeningBid ELSE o.RecommendedMaxReservePrice END AS RecommendedMaxReservePrice,
+         {AS_OF} AS ModelRunDate, t.Negative1, t.Negative2
+  FROM scored_trustee o JOIN top_two_trustee t ON o.PropertyId = t.PropertyId AND o.AuctionId = t.AuctionId AND o.VenueId = t.VenueId"""
+CTES["history_table"] = """
+  SELECT f.*, 1 AS RunId, 0 AS MostRecentData FROM final f UNION ALL SELECT f.*, 2, 1 FROM final f"""
+CTES["current_table"] = "SELECT *, 1 AS MostRecentData FROM final"
+_TYPE = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _unified_side(which: int, table: str) -> str:
+    columns = []
+    for name, *sources, kind in UNIFIED:
+        source = name if sources[which] == "=" else sources[which]
+        columns.append(f"CAST({source or 'NULL'} AS {_TYPE[kind]}) AS {name}")
+    return f"SELECT {', '.join(columns)} FROM {table}"
+
+
+CTES["unified_table"] = f"{_unified_side(0, 'final')} UNION ALL {_unified_side(1, 'final_trustee')}"
+
+# ---- reports --------------------------------------------------------------------------------
+CTES["sided"] = f"""
+  SELECT *, CASE WHEN AuctionDate > {AS_OF} THEN 'upcoming' WHEN AuctionDate < {AS_OF} THEN 'trailing' END AS side FROM ordered_training"""
+CTES["histogram_rows"] = """
+  SELECT Population, least(floor(p * 20) + 1, 20) AS Bin, count(*) AS Rows FROM (
+    SELECT 'all' AS Population, AuctionDaySalePrediction AS p FROM sided
+    UNION ALL SELECT side, AuctionDaySalePrediction FROM sided WHERE side IS NOT NULL) q WHERE p IS NOT NULL GROUP BY 1, 2"""
+CTES["error_rows"] = """
+  SELECT side AS Population, CASE WHEN AuctionDaySalePrediction > 0.5 THEN 1 ELSE 0 END - IsSold AS ErrorType, count(*) AS Rows
+  FROM sided WHERE side IS NOT NULL AND AuctionDaySalePrediction IS NOT NULL GROUP BY 1, 2"""
+CTES["calibrated"] = """
+  SELECT a.m AS MeanPrediction, b.s AS ShareWithoutHighBid, a.m * b.s AS Product
+  FROM (SELECT avg(AuctionDaySalePrediction) AS m FROM ordered_training) a,
+       (SELECT avg(CASE WHEN HighBid IS NULL THEN 1.0 ELSE 0.0 END) AS s FROM feature) b"""
+_PART = {"All": "TRUE", "WithoutFirst": "(SellerCode IS NULL OR SellerCode NOT IN ('SC0', 'SC1'))", "Second": "SellerCode = 'SC2'", "Third": "SellerCode = 'SC3'"}
+_MEANS = ", ".join(
+    f"avg(CASE WHEN AuctionDate {op} {AS_OF} THEN {m} END) AS {t}{m}"
+    for m in ("BPOSurplus", "Reserve", "BPO", "BPOSurplusPct") for t, op in (("Pre", ">"), ("Post", "<")))
+CTES["drifted"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS Segment, *, PreBPO - PostBPO AS BPODifference, PreReserve - PostReserve AS ReserveDifference "
+    f"FROM (SELECT {_MEANS} FROM feature WHERE {w}) q" for n, w in _PART.items())
+
+
 # ---- assembly -------------------------------------------------------------------------------
 
 def _with(body: str) -> str:

@@ -9,14 +9,16 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import terms as tt
 from checks.oracle import oracle_query
 from checks.roles import TestTables
-from hammerline.operators import bidders, features as fx, history
-from hammerline.params import Params
+from hammerline.functions import scoring as sf
+from hammerline.operators import bidders, explain, features as fx, history, impute, models, publish, report, scoring
+from hammerline.params import LISTING_KEY, Params
 from hammerline.plans import nontrustee, trustee
+from hammerline.session import settle, shared_dir
 
 P = Params(as_of=date(2001, 5, 15), programme_start=date(2000, 1, 1), registration_start=date(2000, 1, 1))
-LATER = dataclasses.replace(P, as_of=date(2001, 4, 15))
 
 
 @dataclasses.dataclass(frozen=True)
@@ -94,7 +96,7 @@ add("trustee_zip_sell_through", f"PropertyState PropertyZip {_RATE}", "trustee_z
     lambda wh: history.trustee_zip_sell_through(_recent_trustee(wh), wh["dim_property"], P))
 add("trustee_portfolio_quality", f"TrusteeCode {_RATE}", "trustee_rate")(
     lambda wh: history.trustee_portfolio(_recent_trustee(wh), wh["dim_trustee"], P))
-_BID = f"{K} HighBid:4 WinningBid:4 Bidders:i Bids:i"
+_BID = f"{K} HighBid:6 WinningBid:6 Bidders:i Bids:i"
 add("high_bid_history", _BID, "high_bid")(lambda wh: history.high_bids_for_training(wh["fact_bid_live"], P))
 add("high_bid_history_scoring", _BID, "high_bid_scoring")(lambda wh: history.high_bids_for_scoring(wh["fact_bid_live"], P))
 add("favorites_per_property", "PropertyId:i Favorites:i", "fav_property")(
@@ -121,14 +123,14 @@ def _matches(wh, scoring):
         bidders.bidder_budget(_history(wh, not scoring)), _attendance(wh), positive_reserves=scoring)
 
 
-_PEAKS = "MaxBid:4 WinningBid:4 Winner:i StartingBid:4 Reserve:4 beds:i baths:2 lotsize:4 yearbuilt:i BPO:4 ZIP"
+_PEAKS = "MaxBid:6 WinningBid:6 Winner:i StartingBid:6 Reserve:6 beds:i baths:2 lotsize:4 yearbuilt:i BPO:6 ZIP"
 add("bidder_history", f"bidderemail {K} PropertyCounty {_PEAKS}", "bid_history")(_history)
 add("bidder_history_dated", f"bidderemail {K} PropertyCounty AuctionDate:d {_PEAKS}", "bid_history_dated")(
     lambda wh: _history(wh, True))
-add("bidder_budget", "bidderemail AssetsBidUpon:i AvgMaxBid:3 AvgWinRate:6 FallOutRate:6 AvgMaxBidAsShareOfReserve:6 AvgStartingBid:3 "
-    "AvgReserve:3 avgBeds:6 avgBaths:6 avgLotSize:6 AvgYearBuilt:4 AvgBPO:3", "budget")(lambda wh: bidders.bidder_budget(_history(wh)))
+add("bidder_budget", "bidderemail AssetsBidUpon:i AvgMaxBid:9 AvgWinRate:6 FallOutRate:6 AvgMaxBidAsShareOfReserve:6 AvgStartingBid:9 "
+    "AvgReserve:9 avgBeds:6 avgBaths:6 avgLotSize:6 AvgYearBuilt:9 AvgBPO:9", "budget")(lambda wh: bidders.bidder_budget(_history(wh)))
 add("bidder_attendance", "bidderemail totalattended:i totalregistrations:i attendance:6", "attendance_rate")(_attendance)
-_MATCHED = f"{K} bidderemail Reserve:4 ReserveMatch:6 Bedmatch:6 Bathmatch:6 Lotmatch:6 NaturalScore:6 BidderScore:6"
+_MATCHED = f"{K} bidderemail Reserve:6 ReserveMatch:6 Bedmatch:6 Bathmatch:6 Lotmatch:6 NaturalScore:6 BidderScore:6"
 
 
 def _match_rows(wh, scoring):
@@ -162,14 +164,255 @@ add("market_metrics_fallback", f"{K} {_METRICS}", "listing_market")(_market)
 
 _COMMON = (f"{K} GlobalPropertyId:i SystemAuctionId REDCID LoanNbr PropertyState PropertyZip PropertyCounty PropertyCity MSAName AuctionCode "
            f"Latitude:4 Longitude:4 PropertyOccupancyStatus Condition PropertyType ProductType {FLAGS} IsSold:i AuctionReserveSuccess:i "
-           f"HighBid:4 RunNum:i HasPrevAttempts:i Reserve:4 BPO:4 BPOSurplus:4 BPOSurplusPct:6 HomeSquareFootage:3 Bedrooms:i Baths:2 Age:i "
-           f"LotSize:4 Favorites:i {_METRICS} MedianPPSQFTDeviation:4 ValueLevel_Low:i ValueLevel_Med:i ValueLevel_High:i EventSize:i "
+           f"HighBid:6 RunNum:i HasPrevAttempts:i Reserve:6 BPO:6 BPOSurplus:6 BPOSurplusPct:9 HomeSquareFootage:3 Bedrooms:i Baths:2 Age:i "
+           f"LotSize:4 Favorites:i {_METRICS} MedianPPSQFTDeviation:9 ValueLevel_Low:i ValueLevel_Med:i ValueLevel_High:i EventSize:i "
            f"StateEventSize:i Historical_Execution:6 SellerPortfolioQuality:6")
-_NONTRUSTEE = (f"{_COMMON} SellerCode SellerName FinancingAvailable:i FullWarrantyDeed:i SpecialWarrantyDeed:i QuitClaimDeed:i StartingBid:4 "
+_NONTRUSTEE = (f"{_COMMON} SellerCode SellerName FinancingAvailable:i FullWarrantyDeed:i SpecialWarrantyDeed:i QuitClaimDeed:i StartingBid:6 "
                "IsSubjectToApproval:i TrueSold:i ALRRegistrants:i TotalRegistrantScore:5 IntrinsicBidderQuality:5")
-_TRUSTEE = (f"{_COMMON} TrusteeCode TrusteeName AuctionDate:d WinningBid:4 Removals:i Cancellations:i Postponements:i OpeningBid:4 IsAuction:i "
+_TRUSTEE = (f"{_COMMON} TrusteeCode TrusteeName AuctionDate:d WinningBid:6 Removals:i Cancellations:i Postponements:i OpeningBid:6 IsAuction:i "
             "IsRemoved:i IsCancelled:i IsPostponed:i")
 add("feature_row", f"{_NONTRUSTEE} AuctionDate:d", "feature")(lambda wh: nontrustee.feature_row(wh, P))
 add("feature_row_scoring", f"{_NONTRUSTEE} BidEndDT:d", "feature_scoring")(lambda wh: nontrustee.feature_row(wh, P, scoring=True))
 add("feature_row_trustee", _TRUSTEE, "feature_trustee")(lambda wh: trustee.feature_row(wh, P))
 add("feature_row_trustee_scoring", _TRUSTEE, "feature_trustee_scoring")(lambda wh: trustee.feature_row(wh, P, scoring=True))
+
+
+def training(wh):
+    return wh.once("feature", lambda: nontrustee.feature_row(wh, P))
+
+
+def upcoming_rows(wh):
+    return wh.once("feature_scoring", lambda: nontrustee.feature_row(wh, P, scoring=True))
+
+
+def trustee_rows(wh):
+    return wh.once("feature_trustee_scoring", lambda: trustee.feature_row(wh, P, scoring=True))
+
+
+def _priced(wh):
+    """Every listing with its raw reserve and state, over the whole fact."""
+    place = wh["dim_property"].select("PropertyId", "PropertyState")
+    listings = wh["fact_auction"].select(*LISTING_KEY, "Reserve")
+    codes = wh["dim_auction"].select("AuctionId", "AuctionCode")
+    return listings.join(place, "PropertyId", "left").join(codes, "AuctionId", "left")
+
+
+add("reserve_and_valuation", f"{K} Reserve:6 BPO:6 BPOSurplus:6 BPOSurplusPct:9", "sane_valuation")(
+    lambda wh: training(wh).withColumn("BPO", F.when(
+        (F.col("BPOSurplusPct") >= 5) | (F.col("BPOSurplusPct") < -0.9), None).otherwise(F.col("BPO"))))
+add("sale_outcomes", f"{K} AuctionReserveSuccess:i TrueSold:i HasPrevAttempts:i IsSubjectToApproval:i", "outcome")(
+    lambda wh: training(wh).withColumn("IsSubjectToApproval", F.coalesce("IsSubjectToApproval", F.lit(0))))
+add("price_tercile_by_state", f"{K} PropertyState ValueLevel_Low:i ValueLevel_Med:i ValueLevel_High:i ValueLevel", "tercile")(
+    lambda wh: fx.value_levels(_priced(wh)).withColumn("ValueLevel", fx.value_level_name()))
+add("event_sizes", f"{K} AuctionCode PropertyState EventSize:i StateEventSize:i", "event_size")(
+    lambda wh: fx.event_sizes(_priced(wh)))
+add("ppsf_deviation", f"{K} MedianPPSQFTDeviation:9", "SELECT * FROM feature_trustee_scoring")(trustee_rows)
+
+# ---- imputation -----------------------------------------------------------------------------
+
+_FILL = " ".join(f"{m}:{9 if m == 'MedianPPSQFTDeviation' else 8}" for m in impute.FILLED)
+
+
+def _gappy(wh):
+    no_metrics = (F.col("PropertyId") % 7 == 0) | F.col("PropertyCounty").isin("NATION_3", "NATION_12") | (
+        F.col("PropertyState") == "EUROPE")
+    gaps = {m: F.when(no_metrics, None).otherwise(F.col(m)) for m in impute.FILLED if m != "MedianPPSQFTDeviation"}
+    gaps["TotalHomesForSale"] = F.when(F.col("PropertyId") % 5 == 0, None).otherwise(F.col("TotalHomesForSale"))
+    return training(wh).withColumns(gaps)
+
+
+add("hierarchical_fill", f"{K} {_FILL}", "filled")(lambda wh: impute.hierarchical_fill(_gappy(wh)))
+_REPAIR = "Age:4 LotSize:4 Bedrooms:4 Baths:4 HomeSquareFootage:8 Favorites:i TotalActive:4 Vacancy:6"
+add("state_repair", f"{K} {_REPAIR}", "repaired")(lambda wh: impute.state_repair(training(wh)))
+add("second_population_fill", f"{K} " + " ".join(f"{m}:8" for m in (*impute.SECOND_FILLED, "TotalActive", "Vacancy"))
+    + " TrueSold:i HighBid:2", "second_filled")(
+    lambda wh: impute.second_population_fill(impute.second_population(_gappy(wh), ["Reserve"])))
+add("complete_cases_split", f"{K} Side", "complete_case")(lambda wh: _sides(wh))
+
+
+def _sides(wh):
+    train, score = impute.split(impute.fitted_states(training(wh), P.min_state_rows), P, models.REQUIRED)
+    return train.withColumn("Side", F.lit("train")).unionByName(score.withColumn("Side", F.lit("score")))
+
+
+def _listed(df, column):
+    return df.select("PropertyState", F.posexplode(column).alias("Place", "Value"))
+
+
+add("reserve_deciles", "PropertyState Place:i Value:6", "decile")(
+    lambda wh: _listed(impute.reserve_breakpoints(training(wh), 10), "Breakpoints"))
+add("reserve_quintiles_trustee", "PropertyState Place:i Value:6", "quintile_trustee")(
+    lambda wh: _listed(impute.reserve_breakpoints(trustee_rows(wh), 5), "Breakpoints"))
+add("bucket_min_bpo", "PropertyState Place:i Value:6", "bucket_low_list")(
+    lambda wh: _listed(impute.bucket_minima(training(wh), impute.reserve_breakpoints(training(wh), 10)), "BucketBPO"))
+
+
+def _unvalued(wh):
+    return training(wh).withColumns({
+        "BPO": F.when(F.col("PropertyId") % 5 == 0, None).otherwise(F.col("BPO")),
+        "Predicted": F.col("MedianPPSQFT") * F.col("HomeSquareFootage") - 60000,
+    })
+
+
+add("bpo_blend", f"{K} BPO:6 BPOSurplus:6 BPOSurplusPct:9", "blended")(
+    lambda wh: impute.blend_valuation(_unvalued(wh), P, "Predicted"))
+
+
+def _estimates(wh):
+    text = F.when(F.col("page_id") % 9 == 0, "NULL").when(F.col("page_id") % 10 == 0, "0").otherwise(
+        (F.col("page_id") * 1000).cast("string"))
+    return impute.external_estimates(wh["pages"].select(F.col("url").alias("URL"), text.alias("Estimate")), r"/(\d+)")
+
+
+add("url_estimates", "GlobalPropertyId:i ExternalEstimate:6", "estimate")(_estimates)
+add("estimate_fill", f"{K} BPO:6 BPOSurplus:6 IsPredictedBPO:i ExternalEstimate:6 SellerName PropertyCity", "estimate_filled")(
+    lambda wh: impute.with_external_estimates(
+        _unvalued(wh).withColumns({
+            "GlobalPropertyId": F.col("PropertyId"),
+            **{c: F.replace(F.col(c), F.lit(","), F.lit("")) for c in ("SellerName", "PropertyCity")},
+        }), _estimates(wh)))
+
+# ---- scores ---------------------------------------------------------------------------------
+
+
+def _coefficients(wh):
+    region = wh["region"]
+    return {n: wh.spark.sql(tt.coefficient_select(n).replace("FROM region", "FROM {region}"), region=region) for n in tt.MODELS}
+
+
+def _lookup(wh, is_trustee=False):
+    return wh.spark.sql(tt.weight_select(is_trustee).replace("FROM region", "FROM {region}"), region=wh["region"])
+
+
+def _scored(wh):
+    return scoring.score_nontrustee(upcoming_rows(wh), _coefficients(wh), P)
+
+
+def _scored_trustee(wh):
+    return scoring.score_trustee(trustee_rows(wh), _coefficients(wh), P)
+
+
+_PROBS = "AuctionDaySalePrediction:7 SellerAcceptedSalePrediction:7 ExceedReservePrediction:7"
+add("score_logistic", f"{K} {_PROBS}", "scored")(_scored)
+add("score_linear", f"{K} RecommendedMaxReservePrice:5 FunctionalBPO:6", "scored")(_scored)
+add("score_valuation", f"{K} BPO_Estimate:5", "scored")(_scored)
+_TPROBS = ("CancellationPrediction:7 PostponementPrediction:7 ThirdPartySaleIfAuctionedPrediction:7 "
+           "ThirdPartySaleOverallPrediction:7")
+add("score_trustee", f"{K} {_TPROBS} RecommendedMaxReservePrice:5 FunctionalBPO:6", "scored_trustee")(_scored_trustee)
+
+
+def _ruled(wh):
+    df = scoring.order_probabilities(_scored(wh))
+    df = scoring.fill_opening(df, "StartingBid")
+    df = df.withColumn("HighBidPrediction", scoring.cap_price(F.col("RecommendedMaxReservePrice"), F.col("Reserve")))
+    df = df.withColumn("ReserveRedux", scoring.reserve_reduction(
+        F.col("AuctionDaySalePrediction"), F.col("HighBidPrediction"), F.col("Reserve")))
+    return scoring.floor_price(df, "HighBidPrediction", "StartingBid")
+
+
+add("score_post_rules", f"{K} {_PROBS} HighBidPrediction:5 ReserveRedux:5 StartingBid:6", "ruled")(_ruled)
+add("likelihood_bands", f"{K} AuctionDaySalePrediction:7 SaleLikelihood", "banded")(
+    lambda wh: scoring.order_probabilities(_scored(wh)).withColumn(
+        "SaleLikelihood", scoring.likelihood_band(F.col("AuctionDaySalePrediction"))))
+add("acceptance_lookup", f"{K} AcceptancePrediction:7", "accepted")(
+    lambda wh: scoring.acceptance(
+        training(wh).withColumn("Price", F.col("BPO") * 0.7),
+        wh.spark.sql(tt.ACCEPTANCE_MODELS.replace("FROM region", "FROM {region}"), region=wh["region"]),
+        "Price", fallback_state="ASIA"))
+add("coefficients_wide", "PropertyState Intercept:9 " + " ".join(f"{t}:9" for t in sf.PRICE_TERMS),
+    tt.coefficient_select("high_bid"))(
+    lambda wh: scoring.coefficients_wide(wh.spark.sql(
+        tt.coefficient_long_select("high_bid").replace("FROM region", "FROM {region}"), region=wh["region"]), sf.PRICE_TERMS))
+
+# ---- explanations ---------------------------------------------------------------------------
+
+_FAULT = "PropertyFaultVariable PropertyFaultName ComponentValue:8"
+add("contributions", f"{K} {_FAULT}", "contribution")(
+    lambda wh: explain.contributions(upcoming_rows(wh), _lookup(wh), explain.VARIABLES, P))
+add("contributions_trustee", f"{K} {_FAULT}", "contribution_trustee")(
+    lambda wh: explain.contributions(trustee_rows(wh), _lookup(wh, True), explain.TRUSTEE_VARIABLES, P, literal_ratio=False))
+add("top_two_faults", f"{K} Negative1 Negative2", "top_two")(
+    lambda wh: explain.top_two_faults(upcoming_rows(wh), _lookup(wh), explain.VARIABLES, P))
+add("top_two_faults_by_property", f"{K} Negative1 Negative2", "top_two_shared")(
+    lambda wh: explain.top_two_faults(upcoming_rows(wh), _lookup(wh), explain.VARIABLES, P, key=["GlobalPropertyId"]))
+
+
+def _weights(wh):
+    long = {n: scoring.coefficients_long(_coefficients(wh)[n], n, tt.MODELS[n].terms).drop("model")
+            for n in ("auction_day_sale", "high_bid")}
+    return explain.chosen_weights(long["auction_day_sale"], long["high_bid"], models.PRICE_ONLY)
+
+
+add("fault_weights", "PropertyState term weight:12", "chosen_weight")(_weights)
+add("centred_faults", f"{K} Neg1 Neg2", "centred")(
+    lambda wh: explain.centred_faults(training(wh), _weights(wh), sf.SALE_TERMS))
+add("centred_faults_second_population", f"{K} Neg1 Neg2", "centred_second")(
+    lambda wh: explain.centred_faults(upcoming_rows(wh), _weights(wh), sf.SALE_TERMS,
+                                      centres=explain.state_centres(training(wh), sf.SALE_TERMS)))
+
+# ---- publishing -----------------------------------------------------------------------------
+
+
+def _final(wh):
+    return nontrustee.predictions(upcoming_rows(wh), _coefficients(wh), _lookup(wh), P)
+
+
+def _final_trustee(wh):
+    return trustee.predictions(trustee_rows(wh), _coefficients(wh), _lookup(wh, True), P)
+
+
+add("predictions_nontrustee", f"{K} BidEndDT:d {_PROBS} RecommendedMaxReservePrice:5 FunctionalBPO:6 AuctionDaySale:i SellerAcceptedSale:i "
+    "ReserveExceeded:i ModelRunDate:d Negative1 Negative2", "final")(_final)
+add("predictions_trustee", f"{K} AuctionDate:d {_TPROBS} RecommendedMaxReservePrice:5 FunctionalBPO:6 ModelRunDate:d Negative1 Negative2",
+    "final_trustee")(_final_trustee)
+
+
+def _published(wh):
+    path = f"{shared_dir(wh.spark)}/history-{id(wh)}"
+    final = settle(_final(wh))
+    publish.append_history(final, path, 1)
+    publish.append_history(final, path, 2)
+    publish.append_history(final, path, 2)  # a repeated run must not double its rows
+    return publish.read_history(wh.spark, path)
+
+
+add("publish_history", f"{K} RunId:i MostRecentData:i AuctionDaySalePrediction:7", "history_table")(_published)
+
+
+def _snapshot(wh):
+    path = f"{shared_dir(wh.spark)}/current-{id(wh)}"
+    publish.replace_current(_final(wh), path)
+    publish.replace_current(publish.current_rows(_published(wh)).drop("RunId", "MostRecentData"), path)
+    return wh.spark.read.parquet(path)
+
+
+add("publish_current", f"{K} MostRecentData:i AuctionDaySalePrediction:7 Negative1", "current_table")(_snapshot)
+_UNIFIED = " ".join(
+    name + {"bigint": ":i", "int": ":i", "double": ":5", "date": ":d", "timestamp_ntz": ":d", "string": ""}[kind]
+    for name, _, _, kind in publish.UNIFIED
+    if name not in ("SellerCode", "SellerName")
+)
+add("unified_predictions", _UNIFIED, "unified_table")(lambda wh: publish.unified(_final(wh), _final_trustee(wh)))
+
+# ---- reports --------------------------------------------------------------------------------
+
+
+def _scored_training(wh):
+    return scoring.order_probabilities(scoring.score_nontrustee(training(wh), _coefficients(wh), P))
+
+
+_Y = "AuctionDaySalePrediction"
+add("prediction_histogram", "Population Bin:i Rows:i", "histogram_rows")(lambda wh: report.prediction_histogram(_scored_training(wh), P, _Y))
+add("error_types", "Population ErrorType:i Rows:i", "error_rows")(lambda wh: report.error_types(_scored_training(wh), P, _Y, "IsSold"))
+add("calibration", "MeanPrediction:8 ShareWithoutHighBid:8 Product:8", "calibrated")(
+    lambda wh: report.calibration(_scored_training(wh), training(wh), _Y))
+SEGMENTS = {"All": (True, ()), "WithoutFirst": (False, ("SC0", "SC1")), "Second": (True, ("SC2",)), "Third": (True, ("SC3",))}
+_DRIFT = " ".join(f"{t}{m}:6" for m in ("BPOSurplus", "Reserve", "BPO", "BPOSurplusPct") for t in ("Pre", "Post"))
+add("drift_by_segment", f"Segment {_DRIFT} BPODifference:6 ReserveDifference:6", "drifted")(
+    lambda wh: report.drift_by_segment(training(wh), P, SEGMENTS))
+add("unscored_frequency", "AuctionCode Rows:i", f"SELECT AuctionCode, count(*) AS Rows FROM feature "
+    "WHERE AuctionDate > DATE '2001-05-15' AND AuctionCode IS NOT NULL GROUP BY 1")(
+    lambda wh: report.unscored_frequency(training(wh), P, "AuctionCode"))
+add("unscored_frequency_sellers", "SellerCode Rows:i", "SELECT SellerCode, count(*) AS Rows FROM feature "
+    "WHERE AuctionDate > DATE '2001-05-15' AND SellerCode IN ('SC1', 'SC4', 'SC7') GROUP BY 1")(
+    lambda wh: report.unscored_frequency(training(wh), P, "SellerCode", ("SC1", "SC4", "SC7")))

@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from hammerline.session import settle
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
 
 
@@ -45,7 +49,7 @@ ROLES: dict[str, str] = {
              CASE p.p_size % 7 WHEN 0 THEN 'poor' WHEN 1 THEN 'Fair' WHEN 2 THEN 'average' WHEN 3 THEN 'good'
                                WHEN 4 THEN 'excellent' WHEN 5 THEN '' ELSE NULL END AS Condition,
              CASE p.p_partkey % 4 WHEN 0 THEN 'Occupied' WHEN 1 THEN 'Vacant' WHEN 2 THEN 'N/A' ELSE '' END AS PropertyOccupancyStatus,
-             CASE WHEN p.p_size % 13 = 0 THEN NULL ELSE p.p_size * 40.0e0 END AS HomeSquareFootage,
+             CASE WHEN p.p_size % 13 = 0 THEN NULL ELSE p.p_size * 41.0e0 END AS HomeSquareFootage,
              CASE WHEN p.p_size % 11 = 0 THEN NULL ELSE p.p_size % 6 - 1 END AS Bedrooms,
              CAST(p.p_size % 5 - 1 AS DOUBLE) AS Baths, 1800 + p.p_size * 4 AS YearBuilt,
              CASE WHEN p.p_size % 5 = 0 THEN NULL ELSE p.p_size * 0.25e0 END AS LotSize,
@@ -204,22 +208,39 @@ def mentions(sql: str, names) -> list[str]:
     return [n for n in names if n in words]
 
 
+_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class TestTables(dict):
-    """Warehouse frames over one test folder; each is built on first use."""
+    """Warehouse frames over one test folder.
+
+    The warehouse tables are written once per session, as a warehouse would hold them; helper roles
+    stay views.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _KEPT:
+            _KEPT[key] = settle(build())
+        return _KEPT[key]
+
     def __missing__(self, name: str) -> DataFrame:
         if name in BASE:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        elif name in WAREHOUSE:
+            df = self.once(name, lambda: self._select(name))
         else:
-            sql = role_sql(name, "spark")
-            used = mentions(sql, [*BASE, *ROLES])
-            for other in used:
-                if other != name:
-                    sql = re.sub(rf"\b(FROM|JOIN)\s+{other}\b", rf"\1 {{{other}}}", sql)
-            df = self.spark.sql(sql, **{o: self[o] for o in used if o != name and f"{{{o}}}" in sql})
+            df = self._select(name)
         self[name] = df
         return df
+
+    def _select(self, name: str) -> DataFrame:
+        sql = role_sql(name, "spark")
+        used = [o for o in mentions(sql, [*BASE, *ROLES]) if o != name]
+        for other in used:
+            sql = re.sub(rf"\b(FROM|JOIN)\s+{other}\b", rf"\1 {{{other}}}", sql)
+        return self.spark.sql(sql, **{o: self[o] for o in used if f"{{{o}}}" in sql})

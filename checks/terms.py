@@ -18,9 +18,9 @@ def _size(term: str) -> int:
 
 
 def coefficient(model: str, position: int, term: str) -> str:
-    """SQL for one coefficient; signs alternate and the size follows the term's scale."""
+    """SQL for one coefficient: mixed signs, some zeros, sized to the term's scale."""
     sign = -1 if (position * 7 + len(model)) % 3 == 0 else 1
-    base = sign * (position % 9 + 1)
+    base = sign * ((position + len(model)) % 9)
     money = 0 if MODELS[model].logistic else 5
     return f"({base} * (r_regionkey + 2) * 1e{money - _size(term) - 2})"
 
@@ -56,7 +56,7 @@ def weight_select(trustee: bool = False) -> str:
 
 
 def score_sql(model: str) -> str:
-    """The linear score as the rule states it, over listing alias ``a`` and coefficient alias ``c``."""
+    """The score as the rule states it, over listing alias ``a`` and coefficient alias ``c_<model>``."""
     m = MODELS[model]
     low = "(a.BPO < 0.15 * a.Reserve OR a.BPO IS NULL)"
     special = {
@@ -65,14 +65,31 @@ def score_sql(model: str) -> str:
         "BPOSurplusPct": f"(CASE WHEN {low} THEN 0.2 ELSE a.BPOSurplusPct END)",
         "TotalActive": "coalesce(a.TotalActive, 8000)", "Vacancy": "coalesce(a.Vacancy, 0.087)",
     }
-    parts = ["c.Intercept"]
+    parts = [f"c_{model}.Intercept"]
     for t in m.terms:
         value = special.get(t, " * ".join(f"a.{f}" for f in t.split(TIMES)))
-        parts.append(f"{value} * c.{t}")
+        parts.append(f"{value} * c_{model}.{t}")
     total = " + ".join(parts)
     return f"1 / (1 + exp(0 - ({total})))" if m.logistic else f"({total})"
 
 
-def fault_name_select() -> str:
+def contribution_sql(trustee: bool = False) -> str:
+    """CASE over the weighted variables of alias ``w``, reading listing alias ``a``."""
+    surplus = "(coalesce(a.BPO, 1.2 * a.Reserve) - a.Reserve)"
+    special = {"BPOSurplus": surplus, "BPOSurplusPct": f"{surplus} / nullif(a.Reserve, 0)"}
+    names = TRUSTEE_VARIABLES if trustee else VARIABLES
+    whens = " ".join(f"WHEN '{v}' THEN {special.get(v, 'a.' + v)}" for v in names)
+    return f"w.Value * (CASE w.PropertyFaultVariable {whens} ELSE a.ValueLevel_Med END)"
+
+
+def fault_names_sql() -> str:
     rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in FAULT_NAMES.items())
-    return f"SELECT * FROM (VALUES {rows}) t(variable, name)"
+    return f"SELECT * FROM (VALUES {rows}) t(term, name)"
+
+
+ACCEPTANCE_MODELS = """
+  SELECT 'SC' || CAST(r_regionkey AS VARCHAR(20)) AS SellerCode, r_name AS PropertyState, r_regionkey AS Position,
+         r_regionkey * 0.3e0 - 0.5e0 AS intercept, -1 - r_regionkey * 0.1e0 AS b1, 0.5e0 AS b2, -0.2e0 AS b3 FROM region
+  UNION ALL SELECT 'SC' || CAST(r_regionkey AS VARCHAR(20)), 'ASIA', 10 + r_regionkey, 0.2e0 * r_regionkey, -2e0, 1e0, -0.1e0
+  FROM region WHERE r_regionkey < 3
+  UNION ALL SELECT 'OTHER', 'OTHER', 99, 0.1e0, -1.5e0, 0.3e0, 0.05e0 FROM region WHERE r_regionkey = 0"""

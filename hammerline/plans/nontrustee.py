@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.functions.columns import flag, ratio
-from hammerline.operators import bidders, features as fx, history
+from hammerline.operators import bidders, explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
 from hammerline.session import settle
 
@@ -116,3 +116,14 @@ def _core(listings: DataFrame, wh: Warehouse, p: Params, date_col: str, null_is_
         (F.lit(p.reference_year) - F.col("dp.YearBuilt")).alias("Age"), "dp.LotSize",
         "fa.StartingBid", "fr.IsSubjectToApproval", "fa.SubjToAccepted",
     )
+
+
+def predictions(rows: DataFrame, coefficients: Mapping[str, DataFrame], weights: DataFrame, p: Params) -> DataFrame:
+    """Score, order, floor and explain upcoming listings in the published layout."""
+    scored = scoring.order_probabilities(scoring.score_nontrustee(rows, coefficients, p))
+    explained = explain.top_two_faults(scored, weights, explain.VARIABLES, p)
+    floored = scoring.floor_price(explained, "RecommendedMaxReservePrice", "StartingBid")
+    return floored.withColumns({
+        "AuctionDaySale": F.col("IsSold"), "SellerAcceptedSale": F.col("TrueSold"),
+        "ReserveExceeded": F.col("AuctionReserveSuccess"), "ModelRunDate": F.lit(p.as_of),
+    }).select(*publish.NONTRUSTEE_OUTPUT)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.functions.columns import flag, ratio
-from hammerline.operators import features as fx, history
+from hammerline.operators import explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
 from hammerline.plans.nontrustee import Warehouse
 from hammerline.session import settle
@@ -79,3 +81,11 @@ def _core(listings: DataFrame, wh: Warehouse, p: Params) -> DataFrame:
         (F.lit(p.reference_year) - F.col("dp.YearBuilt")).alias("Age"), "dp.LotSize",
         "fa.OpeningBid", "fa.IsAuction", "fa.IsRemoved", "fa.IsCancelled", "fa.IsPostponed",
     )
+
+
+def predictions(rows: DataFrame, coefficients: Mapping[str, DataFrame], weights: DataFrame, p: Params) -> DataFrame:
+    """Score, order, floor and explain upcoming trustee listings in the published layout."""
+    scored = scoring.order_trustee_probabilities(scoring.score_trustee(rows, coefficients, p))
+    explained = explain.top_two_faults(scored, weights, explain.TRUSTEE_VARIABLES, p, literal_ratio=False)
+    floored = scoring.floor_price(explained, "RecommendedMaxReservePrice", "OpeningBid")
+    return floored.withColumn("ModelRunDate", F.lit(p.as_of)).select(*publish.TRUSTEE_OUTPUT)
