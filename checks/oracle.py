@@ -367,6 +367,27 @@ CTES["estimate_filled"] = """
          replace(u.SellerName, ',', '') AS SellerName, replace(u.PropertyCity, ',', '') AS PropertyCity
   FROM unvalued u LEFT JOIN estimate e ON u.PropertyId = e.GlobalPropertyId"""
 
+_MID = "SFR_Flag MultiResidence_Flag Bedrooms Baths Age HomeSquareFootage".split()
+CTES["valued"] = f"""
+  SELECT PropertyState, BPO, {', '.join(_MID)} FROM feature WHERE BPO IS NOT NULL
+  UNION ALL SELECT PropertyState, median(BPO), {', '.join(f'median({c})' for c in _MID)} FROM feature WHERE BPO IS NOT NULL GROUP BY 1"""
+CTES["valuation_rows"] = """
+  SELECT v.PropertyState, count(*) AS Rows, sum(BPO) AS SumBPO, sum(CASE WHEN Age >= 200 THEN mAge ELSE Age END) AS SumAge,
+         sum(CASE WHEN Bedrooms < 0 THEN mBed ELSE Bedrooms END) AS SumBedrooms, sum(CASE WHEN Baths < 0 THEN mBath ELSE Baths END) AS SumBaths,
+         sum(CASE WHEN HomeSquareFootage < 100 THEN mFeet ELSE HomeSquareFootage END) AS SumFeet
+  FROM valued v JOIN (
+    SELECT PropertyState, median(CASE WHEN Age < 200 THEN Age END) AS mAge, median(CASE WHEN Bedrooms > 0 THEN Bedrooms END) AS mBed,
+           median(CASE WHEN Baths > 0 THEN Baths END) AS mBath, avg(CASE WHEN HomeSquareFootage >= 100 THEN HomeSquareFootage END) AS mFeet
+    FROM valued GROUP BY 1) m ON v.PropertyState = m.PropertyState GROUP BY 1"""
+CTES["labelled"] = """
+  SELECT PropertyId, AuctionId, VenueId, PropertyState, (Reserve - HighBid) / nullif(Reserve, 0) AS gap,
+         CASE PropertyState WHEN 'ASIA' THEN IsSold WHEN 'AFRICA' THEN 1 ELSE 0 END AS y FROM feature"""
+CTES["flipped"] = f"""
+  SELECT {KEY}, CASE WHEN hi = 0 AND up = 1 AND gap IS NOT NULL THEN 1 WHEN lo = 1 AND down = 1 AND gap IS NOT NULL THEN 0 ELSE y END AS Label
+  FROM (SELECT *, min(y) OVER (PARTITION BY PropertyState) AS lo, max(y) OVER (PARTITION BY PropertyState) AS hi,
+               row_number() OVER (PARTITION BY PropertyState ORDER BY gap NULLS LAST, {KEY}) AS up,
+               row_number() OVER (PARTITION BY PropertyState ORDER BY -gap NULLS LAST, {KEY}) AS down FROM labelled) q"""
+
 # ---- scores ---------------------------------------------------------------------------------
 for _m in tt.MODELS:
     CTES[f"coef_{_m}"] = tt.coefficient_select(_m)

@@ -326,7 +326,7 @@ add("coefficients_wide", "PropertyState Intercept:9 " + " ".join(f"{t}:9" for t
 
 # ---- explanations ---------------------------------------------------------------------------
 
-_FAULT = "PropertyFaultVariable PropertyFaultName ComponentValue:8"
+_FAULT = "PropertyFaultVariable PropertyFaultName ComponentValue:11"
 add("contributions", f"{K} {_FAULT}", "contribution")(
     lambda wh: explain.contributions(upcoming_rows(wh), _lookup(wh), explain.VARIABLES, P))
 add("contributions_trustee", f"{K} {_FAULT}", "contribution_trustee")(
@@ -416,3 +416,46 @@ add("unscored_frequency", "AuctionCode Rows:i", f"SELECT AuctionCode, count(*) A
 add("unscored_frequency_sellers", "SellerCode Rows:i", "SELECT SellerCode, count(*) AS Rows FROM feature "
     "WHERE AuctionDate > DATE '2001-05-15' AND SellerCode IN ('SC1', 'SC4', 'SC7') GROUP BY 1")(
     lambda wh: report.unscored_frequency(training(wh), P, "SellerCode", ("SC1", "SC4", "SC7")))
+
+# ---- models ---------------------------------------------------------------------------------
+
+add("ols_per_state", "PropertyState term value:5", """
+  SELECT PropertyState, 'Intercept' AS term, regr_intercept(BPO, Reserve) AS value FROM feature WHERE BPO IS NOT NULL AND Reserve IS NOT NULL GROUP BY 1
+  UNION ALL SELECT PropertyState, 'Reserve', regr_slope(BPO, Reserve) FROM feature WHERE BPO IS NOT NULL AND Reserve IS NOT NULL GROUP BY 1""")(
+    lambda wh: models.ols_per_state(training(wh), ["Reserve"], "BPO"))
+_COEF = "PropertyState model term value:3"
+add("valuation_fit", _COEF)(lambda wh: models.ols_per_state(models.valuation_training(training(wh)), models.VALUATION_FIT, "BPO"))
+add("valuation_training_rows", "PropertyState Rows:i SumBPO:3 SumAge:3 SumBedrooms:3 SumBaths:3 SumFeet:3", "valuation_rows")(
+    lambda wh: models.valuation_training(training(wh)).groupBy("PropertyState").agg(
+        F.count(F.lit(1)).alias("Rows"), F.sum("BPO").alias("SumBPO"), F.sum("Age").alias("SumAge"), F.sum("Bedrooms").alias("SumBedrooms"),
+        F.sum("Baths").alias("SumBaths"), F.sum("HomeSquareFootage").alias("SumFeet")))
+
+
+def _fit_rows(wh):
+    return impute.quality_flags(impute.state_repair(training(wh))).withColumn("IsSubjectToApproval", F.coalesce("IsSubjectToApproval", F.lit(0)))
+
+
+def _fit_trustee_rows(wh):
+    return impute.state_repair(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), national_postal=True)
+
+
+add("lambda_by_cv", "PropertyState label lambda:4")(lambda wh: models.lambda_by_cv(_fit_rows(wh), models.SALE_FIT, "IsSold"))
+add("elastic_net_price", _COEF)(lambda wh: models.elastic_net_price(
+    _fit_rows(wh).filter(F.col("HighBid").isNotNull()), models.PRICE_FIT, "HighBid"))
+add("ridge_logistic_per_state", _COEF)(lambda wh: models.ridge_logistic(
+    models.two_class(_fit_rows(wh), "AuctionReserveSuccess", models.shortfall()), models.SALE_FIT, ["IsSold", "TrueSold", "AuctionReserveSuccess"]))
+add("pre_reserve_models", _COEF)(lambda wh: models.ridge_logistic(
+    _fit_rows(wh), models.PRE_RESERVE_FIT, ["IsSold", "TrueSold", "AuctionReserveSuccess"]))
+
+
+def _trustee_models(wh):
+    rows = _fit_trustee_rows(wh)
+    for label, by in (("IsPostponed", "Postponements"), ("IsCancelled", "Cancellations")):
+        rows = models.two_class(rows, label, -F.col(by), F.col(by))
+    return models.ridge_logistic(rows, models.TRUSTEE_FIT, ["IsSold", "IsPostponed", "IsCancelled"])
+
+
+add("trustee_outcome_models", _COEF)(_trustee_models)
+add("two_class_labels", f"{K} Label:i", "flipped")(lambda wh: models.two_class(
+    training(wh).withColumn("Label", F.when(F.col("PropertyState") == "ASIA", F.col("IsSold")).otherwise(
+        F.when(F.col("PropertyState") == "AFRICA", 1).otherwise(0))), "Label", models.shortfall(), -models.shortfall()))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,49 +64,53 @@ TRUSTEE_MODELS = (
 )
 
 
-def unusable_valuation(bound: float) -> Column:
-    return (F.col("BPO") < bound * F.col("Reserve")) | F.col("BPO").isNull()
+def _unusable(bound: float) -> str:
+    return f"(BPO < {bound!r}D * Reserve OR BPO IS NULL)"
 
 
 def functional_valuation(p: Params, bound: float) -> Column:
     """The valuation, or a fixed multiple of the reserve when it is missing or absurdly low."""
-    return F.when(unusable_valuation(bound), p.number("valuation_ratio") * F.col("Reserve")).otherwise(F.col("BPO"))
+    return F.expr(f"CASE WHEN {_unusable(bound)} THEN {p.number('valuation_ratio')!r}D * Reserve ELSE BPO END")
+
+
+def term_sql(term: str) -> str:
+    """A term as SQL: its own column, or the product of an interaction's two factors."""
+    return " * ".join(f"`{factor}`" for factor in term.split(TIMES))
 
 
 def term_value(term: str) -> Column:
-    """A term as a column: its own column, or the product of an interaction's two factors."""
-    first, _, second = term.partition(TIMES)
-    return F.col(first) * F.col(second) if second else F.col(term)
+    return F.expr(term_sql(term))
 
 
-def scoring_input(term: str, p: Params, model: Model) -> Column:
+def scoring_input(term: str, p: Params, model: Model) -> str:
     """The value a term takes at scoring time, with its default where the listing lacks one."""
     bound = p.absurd_valuation_bound if model.literal_bound else p.number("absurd_valuation_bound")
     share = p.surplus_share_default if model.literal_share else p.number("surplus_share_default")
-    substitute = p.number("valuation_ratio") * F.col("Reserve")
     if term in ("BPO", "BPOSurplus"):
-        return F.when(unusable_valuation(bound), substitute).otherwise(F.col(term))
+        return f"CASE WHEN {_unusable(bound)} THEN {p.number('valuation_ratio')!r}D * Reserve ELSE {term} END"
     if term == "BPOSurplusPct":
-        return F.when(unusable_valuation(bound), share).otherwise(F.col(term))
+        return f"CASE WHEN {_unusable(bound)} THEN {share!r}D ELSE {term} END"
     if term == "TotalActive":
-        return F.coalesce(term, F.lit(p.population_default))
+        return f"coalesce({term}, {p.population_default!r}D)"
     if term == "Vacancy":
-        rate = F.coalesce(term, F.lit(p.number("vacancy_default")))
-        return F.round(rate) if p.legacy_decimal else rate
-    return term_value(term)
+        rate = f"coalesce({term}, {p.number('vacancy_default')!r}D)"
+        return f"round({rate})" if p.legacy_decimal else rate
+    return term_sql(term)
 
 
-def linear(inputs: dict[str, Column], coefficient) -> Column:
+def linear(inputs: dict[str, str], coefficients: str) -> str:
     """Intercept plus the weighted terms; NULL as soon as one term is NULL."""
-    return reduce(add, [value * coefficient(term) for term, value in inputs.items()], coefficient("Intercept"))
+    parts = [f"({value}) * {coefficients}.`{term}`" for term, value in inputs.items()]
+    return " + ".join([f"{coefficients}.`Intercept`", *parts])
 
 
 def logistic(z: Column) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
-def score(model: Model, p: Params, coefficient) -> Column:
-    z = linear({t: scoring_input(t, p, model) for t in model.terms}, coefficient)
+def score(model: Model, p: Params, coefficients: str) -> Column:
+    """One flat expression per model, parsed once, over the struct column ``coefficients``."""
+    z = F.expr(linear({t: scoring_input(t, p, model) for t in model.terms}, coefficients))
     return (logistic(z) if model.logistic else z).alias(model.output)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hammerline.functions.columns import first_positive, flag, like_any, ratio, same_key, same_text
@@ -173,16 +173,16 @@ def value_level_name() -> Column:
 
 
 def event_sizes(df: DataFrame, state: str = "PropertyState") -> DataFrame:
-    """Listings per event and per event and state, from one small count table."""
+    """Listings per event and per event and state, from one small count table.
+
+    The window runs over that table, where an event has one row per state.
+    """
     key = ["AuctionCode", state]
-    per_state = df.groupBy(*key).agg(F.count("AuctionCode").alias("StateEventSize"))
-    counts = settle(per_state)
-    whole = counts.groupBy("AuctionCode").agg(F.sum("StateEventSize").alias("EventSize"))
-    both = settle(
-        counts.alias("c").join(whole.alias("w"), same_key("c", "w", ["AuctionCode"]))
-        .select("c.*", "w.EventSize")
+    sizes = settle(
+        df.groupBy(*key).agg(F.count("AuctionCode").alias("StateEventSize"))
+        .withColumn("EventSize", F.sum("StateEventSize").over(Window.partitionBy("AuctionCode")))
     )
     return (
-        df.alias("d").join(both.alias("e"), same_key("d", "e", key), "left")
-        .select("d.*", F.col("e.EventSize"), F.col("e.StateEventSize"))
+        df.alias("d").join(sizes.alias("e"), same_key("d", "e", key), "left")
+        .select("d.*", "e.EventSize", "e.StateEventSize")
     )

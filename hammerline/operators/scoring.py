@@ -28,7 +28,7 @@ def with_scores(df: DataFrame, tables: Mapping[str, DataFrame], models: tuple[Mo
     """Add each model's output. Listings of states without coefficients drop out."""
     coefficients = settle(joined_coefficients(tables, models))
     joined = df.join(coefficients, "PropertyState")
-    outputs = [score(m, p, lambda t, m=m: F.col(f"{m.name}.{t}")) for m in models]
+    outputs = [score(m, p, m.name) for m in models]
     return joined.select(*df.columns, *outputs)
 
 
