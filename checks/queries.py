@@ -439,7 +439,7 @@ def _fit_trustee_rows(wh):
     return impute.state_repair(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), national_postal=True)
 
 
-add("lambda_by_cv", "PropertyState label lambda:4")(lambda wh: models.lambda_by_cv(_fit_rows(wh), models.SALE_FIT, "IsSold"))
+add("lambda_by_cv", "PropertyState label lambda:4")(lambda wh: models.lambda_by_cv(_fit_rows(wh), models.SALE_FIT, ["IsSold", "TrueSold"]))
 add("elastic_net_price", _COEF)(lambda wh: models.elastic_net_price(
     _fit_rows(wh).filter(F.col("HighBid").isNotNull()), models.PRICE_FIT, "HighBid"))
 add("ridge_logistic_per_state", _COEF)(lambda wh: models.ridge_logistic(
@@ -459,3 +459,21 @@ add("trustee_outcome_models", _COEF)(_trustee_models)
 add("two_class_labels", f"{K} Label:i", "flipped")(lambda wh: models.two_class(
     training(wh).withColumn("Label", F.when(F.col("PropertyState") == "ASIA", F.col("IsSold")).otherwise(
         F.when(F.col("PropertyState") == "AFRICA", 1).otherwise(0))), "Label", models.shortfall(), -models.shortfall()))
+
+# ---- fit, score and explain end to end -------------------------------------------------------
+
+from hammerline.plans import train  # noqa: E402
+
+_FITTED = f"{K} PropertyState SaleLikelihood Neg1 Neg2 BPO:3 "
+
+
+def _reo_estimates(wh):
+    return _estimates(wh).withColumn("GlobalPropertyId", F.col("GlobalPropertyId") + 500000)
+
+
+add("fit_and_score", _FITTED + "AuctionDaySalePrediction:4 SellerAcceptedSalePrediction:4 ExceedReservePrediction:4 HighBidPrediction:2 ReserveRedux:2")(
+    lambda wh: train.fit_and_score(training(wh), train.REO, P, _reo_estimates(wh)).full)
+add("fit_and_score_pre_reserve", _FITTED + "AuctionDaySalePrediction:4 SellerAcceptedSalePrediction:4 ExceedReservePrediction:4")(
+    lambda wh: train.fit_and_score(training(wh), train.PRE_RESERVE, P).full)
+add("fit_and_score_trustee", _FITTED + "ThirdPartySalePrediction:4 PostponePrediction:4 CancelPrediction:4 HighBidPrediction:2 ReserveRedux:2")(
+    lambda wh: train.fit_and_score(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), train.TRUSTEE, P).full)

@@ -211,6 +211,12 @@ def mentions(sql: str, names) -> list[str]:
 _KEPT: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def forget(sf_dir: str, keep: tuple[str, ...]) -> None:
+    """Drop kept intermediates of a test folder so that the next query computes its own."""
+    for key in [k for k in _KEPT if k[1] == sf_dir and k[2] not in keep]:
+        del _KEPT[key]
+
+
 class TestTables(dict):
     """Warehouse frames over one test folder.
 

@@ -90,9 +90,9 @@ def design(df: DataFrame, terms: Sequence[str], targets: Sequence[str], folds: i
     return standard, stats.select(STATE, cells).select(STATE, F.lit(-1).alias("_fold"), "c.i", "c.j", "c.v")
 
 
-def moments(standard: DataFrame, terms: Sequence[str], target: str) -> DataFrame:
-    """Sums of products over (1, terms, target) as (state, fold, i, j, v) cells, upper triangle."""
-    columns = [*terms, f"y_{target}"]
+def moments(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """Sums of products over (1, terms, targets) as (state, fold, i, j, v) cells, upper triangle."""
+    columns = [*terms, *[f"y_{t}" for t in targets]]
 
     def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
@@ -109,6 +109,12 @@ def moments(standard: DataFrame, terms: Sequence[str], target: str) -> DataFrame
     return partial.groupBy(STATE, "_fold", "i", "j").agg(F.sum("v").alias("v"))
 
 
+def _by_state(cells: DataFrame, solve, schema: str, *key: str) -> DataFrame:
+    """One solver call per state, spread over all cores (a small shuffle would be merged into one task)."""
+    spread = cells.repartition(cells.sparkSession.sparkContext.defaultParallelism, STATE, *key)
+    return spread.groupBy(STATE, *key).applyInPandas(solve, schema)
+
+
 def _matrix(cells: pd.DataFrame, size: int) -> np.ndarray:
     m = np.zeros((size, size))
     i, j, v = cells["i"].to_numpy(), cells["j"].to_numpy(), cells["v"].to_numpy()
@@ -117,14 +123,14 @@ def _matrix(cells: pd.DataFrame, size: int) -> np.ndarray:
     return m
 
 
-def _unpack(pdf: pd.DataFrame, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(pdf: pd.DataFrame, p: int, targets: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(fold moment matrices, feature means, feature deviations) of one state's cells."""
     stats, cells = pdf[pdf["i"] < 0], pdf[pdf["i"] >= 0]
     mean, sd = np.zeros(p), np.zeros(p)
     for kind, out in ((-1, mean), (-2, sd)):
         part = stats[stats["i"] == kind]
         out[part["j"].to_numpy()] = part["v"].to_numpy()
-    folds = np.array([_matrix(c, p + 2) for _, c in cells.groupby("_fold")])
+    folds = np.array([_matrix(c, p + 1 + targets) for _, c in cells.groupby("_fold")])
     return folds, mean, sd
 
 
@@ -144,7 +150,7 @@ def _solve_states(cells: DataFrame, terms: Sequence[str], model: str, solve) ->
         folds, mean, sd = _unpack(pdf, len(terms))
         return pd.DataFrame({STATE: pdf[STATE].iloc[0], "model": model, "term": names, "value": solve(folds, mean, sd)})
 
-    return cells.groupBy(STATE).applyInPandas(one_state, _COEF_SCHEMA)
+    return _by_state(cells, one_state, _COEF_SCHEMA)
 
 
 # ---- linear fits ----------------------------------------------------------------------------
@@ -156,7 +162,7 @@ def ols_per_state(df: DataFrame, terms: Sequence[str], target: str, model: str =
     def solve(folds, mean, sd):
         return _raw_scale(solvers.least_squares(folds.sum(axis=0)), mean, sd)
 
-    return _solve_states(moments(standard, terms, target).unionByName(stats), terms, model, solve)
+    return _solve_states(moments(standard, terms, [target]).unionByName(stats), terms, model, solve)
 
 
 def elastic_net_price(df: DataFrame, terms: Sequence[str], target: str, model: str = "high_bid",
@@ -167,30 +173,31 @@ def elastic_net_price(df: DataFrame, terms: Sequence[str], target: str, model: s
     def solve(folds, mean, sd):
         n, m, cov = solvers.centred(folds.sum(axis=0))
         gram, cross = cov[:-1, :-1] * np.outer(sd, sd), cov[:-1, -1] * sd
-        path = solvers.penalty_path(cross, n, alpha)
-        beta = None
-        for lam in path:
-            beta = solvers.elastic_net(gram[None], cross[None], float(lam), alpha, beta, tol=1e-9, sweeps=300)
-        slope = beta[0]
+        slope = solvers.fit_path(gram, cross, cov[-1, -1], n, alpha)[1][-1]
         return np.concatenate([[m[-1] - slope @ mean - (slope * sd) @ m[:-1]], slope])
 
-    return _solve_states(moments(standard, terms, target).unionByName(stats), terms, model, solve)
+    return _solve_states(moments(standard, terms, [target]).unionByName(stats), terms, model, solve)
 
 
-def lambda_by_cv(df: DataFrame, terms: Sequence[str], target: str) -> DataFrame:
-    """Penalty with the smallest held-out error of a lasso path, per state."""
-    standard, stats = design(df, terms, [target])
-    return _lambda(standard, stats, terms, target)
+def lambda_by_cv(df: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """Penalty with the smallest held-out error of a lasso path, per state and target."""
+    standard, _ = design(df, terms, targets)
+    return _lambda(standard, terms, targets)
+
 
+def _lambda(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    p, targets = len(terms), list(targets)
 
-def _lambda(standard: DataFrame, stats: DataFrame, terms: Sequence[str], target: str) -> DataFrame:
     def one_state(pdf: pd.DataFrame) -> pd.DataFrame:
-        folds, _, _ = _unpack(pdf, len(terms))
-        lam, loss = solvers.cross_validated_penalty(folds)
-        return pd.DataFrame({STATE: [pdf[STATE].iloc[0]], "label": target, "lambda": lam, "loss": loss})
+        folds, _, _ = _unpack(pdf, p, len(targets))
+        rows = []
+        for t, target in enumerate(targets):
+            own = [*range(p + 1), p + 1 + t]
+            rows.append((pdf[STATE].iloc[0], target, *solvers.cross_validated_penalty(folds[:, own][:, :, own])))
+        return pd.DataFrame(rows, columns=[STATE, "label", "lambda", "loss"])
 
-    cells = moments(standard, terms, target).unionByName(stats)
-    return cells.groupBy(STATE).applyInPandas(one_state, f"{STATE} string, label string, lambda double, loss double")
+    schema = f"{STATE} string, label string, lambda double, loss double"
+    return _by_state(moments(standard, terms, targets), one_state, schema)
 
 
 # ---- logistic fits --------------------------------------------------------------------------
@@ -234,11 +241,7 @@ def ridge_logistic(df: DataFrame, terms: Sequence[str], labels: Sequence[str], f
     iteration is one pass over the rows for all states and labels together.
     """
     standard, stats = design(df, terms, labels)
-    penalties = None
-    for label in labels:
-        one = _lambda(standard, stats, terms, label)
-        penalties = one if penalties is None else penalties.unionByName(one)
-    penalty_rows = penalties.toPandas()
+    penalty_rows = _lambda(standard, terms, labels).toPandas()
     if penalty_rows[STATE].nunique() > MAX_STATES:
         raise ValueError(f"more than {MAX_STATES} groups; fit coarser groups")
     size = len(terms) + 1
@@ -297,7 +300,7 @@ def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str
         .mapInPandas(reduce_batches, f"{STATE} string, label string, i int, j int, v double")
         .groupBy(STATE, "label", "i", "j").agg(F.sum("v").alias("v"))
     )
-    rows = cells.groupBy(STATE, "label").applyInPandas(step, f"{STATE} string, label string, i int, v double").toPandas()
+    rows = _by_state(cells, step, f"{STATE} string, label string, i int, v double", "label").toPandas()
     return {k: g.sort_values("i")["v"].to_numpy() for k, g in rows.groupby([STATE, "label"])}
 
 
