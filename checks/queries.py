@@ -425,7 +425,7 @@ add("ols_per_state", "PropertyState term value:5", """
     lambda wh: models.ols_per_state(training(wh), ["Reserve"], "BPO"))
 _COEF = "PropertyState model term value:3"
 add("valuation_fit", _COEF)(lambda wh: models.ols_per_state(models.valuation_training(training(wh)), models.VALUATION_FIT, "BPO"))
-add("valuation_training_rows", "PropertyState Rows:i SumBPO:3 SumAge:3 SumBedrooms:3 SumBaths:3 SumFeet:3", "valuation_rows")(
+add("valuation_training_rows", "PropertyState Rows:i SumBPO:0 SumAge:3 SumBedrooms:3 SumBaths:3 SumFeet:3", "valuation_rows")(
     lambda wh: models.valuation_training(training(wh)).groupBy("PropertyState").agg(
         F.count(F.lit(1)).alias("Rows"), F.sum("BPO").alias("SumBPO"), F.sum("Age").alias("SumAge"), F.sum("Bedrooms").alias("SumBedrooms"),
         F.sum("Baths").alias("SumBaths"), F.sum("HomeSquareFootage").alias("SumFeet")))

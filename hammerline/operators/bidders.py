@@ -84,15 +84,15 @@ def bidder_attendance(registrations: DataFrame, bids: DataFrame, dim_bidder: Dat
     emails = dim_bidder.select("BidderId", "bidderemail")
 
     def distinct_properties(df: DataFrame, out: str) -> DataFrame:
-        pairs = df.select("BidderId", "PropertyId").distinct()
-        return pairs.join(emails, "BidderId").groupBy("bidderemail").agg(F.count_distinct("PropertyId").alias(out))
+        return df.join(emails, "BidderId").groupBy("bidderemail").agg(F.count_distinct("PropertyId").alias(out))
 
     registered = distinct_properties(
-        registrations.filter(F.col("CreateDate") >= F.lit(p.registration_start)), "totalregistrations"
-    )
-    attended = distinct_properties(
-        _real_ids(bids.filter(F.col("AuctionDate") >= F.lit(p.programme_start))), "totalattended"
+        registrations.filter(F.col("CreateDate") >= F.lit(p.registration_start)).select("BidderId", "PropertyId"),
+        "totalregistrations",
     )
+    # bids repeat per bidder and property far more often than registrations do
+    bid_on = _real_ids(bids.filter(F.col("AuctionDate") >= F.lit(p.programme_start)))
+    attended = distinct_properties(bid_on.select("BidderId", "PropertyId").distinct(), "totalattended")
     return registered.join(attended, "bidderemail").select(
         "bidderemail", "totalattended", "totalregistrations",
         ratio(F.col("totalattended").cast("double"), F.col("totalregistrations")).alias("attendance"),

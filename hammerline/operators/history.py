@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +134,11 @@ def brought_to_sale(fact_trustee: DataFrame) -> DataFrame:
     return tally.select("PropertyId", total.alias("RunNum"), *outcomes.values())
 
 
+def only_for(df: DataFrame, listings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a history that belong to one of the listings, so the rest is dropped before grouping."""
+    return df.join(listings.select(*keys), list(keys), "left_semi")
+
+
 def unique_listing(df: DataFrame) -> DataFrame:
     """Rows of listing keys that occur more than once: empty when the feature row is sound."""
     return df.groupBy(*LISTING_KEY).agg(F.count(F.lit(1)).alias("Rows")).filter("Rows > 1")

@@ -68,12 +68,13 @@ def listing_fold(folds: int = 10) -> Column:
 def design(df: DataFrame, terms: Sequence[str], targets: Sequence[str], folds: int = 10) -> tuple[DataFrame, DataFrame]:
     """Standardised complete cases and their per-state (mean, deviation) as matrix cells.
 
+    The selected columns are written once; every later pass reads that copy and scales it on the fly.
     Centring before multiplying keeps the products well conditioned next to reserves in the millions.
     """
     picked = [term_value(t).cast("double").alias(t) for t in terms]
     rows = df.filter(F.col(STATE).isNotNull()).select(
         STATE, listing_fold(folds).alias("_fold"), *[F.col(t).cast("double").alias(f"y_{t}") for t in targets], *picked)
-    rows = rows.filter(all_present([*terms, *[f"y_{t}" for t in targets]]))
+    rows = settle(rows.filter(all_present([*terms, *[f"y_{t}" for t in targets]])))
     stats = settle(rows.groupBy(STATE).agg(
         *[F.struct(F.avg(t).alias("mean"), F.stddev_pop(t).alias("sd")).alias(f"s_{t}") for t in terms]))
     joined = rows.join(stats, STATE)
@@ -82,7 +83,7 @@ def design(df: DataFrame, terms: Sequence[str], targets: Sequence[str], folds: i
                    F.lit(0.0)).alias(t)
         for t in terms
     ]
-    standard = settle(joined.select(STATE, "_fold", *[f"y_{t}" for t in targets], *scaled))
+    standard = joined.select(STATE, "_fold", *[f"y_{t}" for t in targets], *scaled)
     cells = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("i"), F.lit(j).alias("j"), F.col(f"s_{t}.{part}").alias("v"))
         for j, t in enumerate(terms) for kind, part in ((-1, "mean"), (-2, "sd"))
@@ -331,7 +332,7 @@ def valuation_training(df: DataFrame) -> DataFrame:
     unknown = [F.lit(1.0 if c == "Condition_unknown" else 0.0).alias(c) for c in CONDITIONS]
     extra = usual.join(value, STATE).select(
         STATE, *[F.lit(-1).cast("long").alias(k) for k in LISTING_KEY], "BPO", *_MEDIAN_ROW, *unknown)
-    together = rows.unionByName(extra)
+    together = rows.unionByName(settle(extra))
     c = F.col
     middles = settle(small_domain_medians(together, [STATE], {
         "m_Bedrooms": F.when(c("Bedrooms") > 0, c("Bedrooms")), "m_Baths": F.when(c("Baths") > 0, c("Baths")),

@@ -36,11 +36,13 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
 
     key = list(LISTING_KEY)
-    bids = (history.high_bids_for_scoring if scoring else history.high_bids_for_training)(wh["fact_bid_live"], p)
+    live_bids = history.only_for(wh["fact_bid_live"], core, key)
+    marks_of = history.only_for(wh["fact_property_favorites"], core, list(favorite_key))
+    bids = (history.high_bids_for_scoring if scoring else history.high_bids_for_training)(live_bids, p)
     joined = (
         leveled.join(bids.select(*key, "HighBid"), key, "left")
-        .join(registrant_scores(wh, p, scoring), key, "left")
-        .join(history.favorites(wh["fact_property_favorites"], favorite_key)
+        .join(registrant_scores(wh, p, scoring, core, recent), key, "left")
+        .join(history.favorites(marks_of, favorite_key)
               .withColumnRenamed("Favorites", "_marks"), list(favorite_key), "left")
     )
     joined = fx.join_market(joined, wh["market_metrics"], wh["postal_vacancy"])
@@ -66,14 +68,20 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
     }).drop("_zip_rate", "_seller_rate", "_marks", "SubjToAccepted", "MarketMonth", "PostalMonth")
 
 
-def registrant_scores(wh: Warehouse, p: Params, scoring: bool) -> DataFrame:
+def registrant_scores(wh: Warehouse, p: Params, scoring: bool, core: DataFrame, recent: DataFrame) -> DataFrame:
+    """Registrant quality of the listings in ``core``; ``recent`` holds their reserves.
+
+    A bidder's history and attendance look at everything, but only registrations for the wanted
+    listings are scored.
+    """
     hist = bidders.bidder_history(wh["fact_bid_live"], wh["fact_residential"], wh["dim_property"],
                                   wh["dim_bidder"], p, by_date=not scoring)
-    attendance = bidders.bidder_attendance(
-        wh["fact_property_registration"], wh["fact_bid_live"], wh["dim_bidder"], p)
+    registrations = wh["fact_property_registration"]
+    attendance = bidders.bidder_attendance(registrations, wh["fact_bid_live"], wh["dim_bidder"], p)
+    wanted = history.only_for(registrations, core, LISTING_KEY)
     matches = bidders.registrant_matches(
-        wh["fact_property_registration"], wh["dim_bidder"], wh["dim_property"], wh["fact_auction"],
-        bidders.bidder_budget(hist), attendance, positive_reserves=scoring)
+        wanted, wh["dim_bidder"], wh["dim_property"], recent, bidders.bidder_budget(hist), attendance,
+        positive_reserves=scoring)
     return bidders.registrant_score(matches)
 
 

@@ -26,9 +26,11 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
     zips = settle(history.trustee_zip_sell_through(held, wh["dim_property"], p))
     trustees = settle(history.trustee_portfolio(held, wh["dim_trustee"], p))
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
+    marks_of = history.only_for(wh["fact_property_favorites"], core, list(favorite_key))
+    past_runs = history.only_for(wh["fact_trustee_auction"], core, ["PropertyId"])
     joined = (
-        leveled.join(history.brought_to_sale(wh["fact_trustee_auction"]), "PropertyId", "left")
-        .join(history.favorites(wh["fact_property_favorites"], favorite_key)
+        leveled.join(history.brought_to_sale(past_runs), "PropertyId", "left")
+        .join(history.favorites(marks_of, favorite_key)
               .withColumnRenamed("Favorites", "_marks"), list(favorite_key), "left")
     )
     joined = fx.join_market(joined, wh["market_metrics"], wh["postal_vacancy"])
