@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hammerline.functions.columns import all_present, number, ratio, same_key
 from hammerline.functions.ranking import quantiles, small_domain_medians
 from hammerline.params import Params
-from hammerline.session import settle
+from hammerline.session import settle, settle_all
 
 # Metrics overwritten together, and whose gap decides.
 FILLED = (
@@ -130,9 +130,11 @@ def state_repair(df: DataFrame, national_postal: bool = False) -> DataFrame:
         "m_TotalActive": c("TotalActive"),
         "m_Vacancy": c("Vacancy"),
     }
-    usual = settle(small_domain_medians(df, ["PropertyState"], medians))
-    feet = settle(df.groupBy("PropertyState").agg(
-        F.avg(F.when(c("HomeSquareFootage") >= 100, c("HomeSquareFootage"))).alias("m_feet")))
+    usual, feet = settle_all(
+        small_domain_medians(df, ["PropertyState"], medians),
+        df.groupBy("PropertyState").agg(
+            F.avg(F.when(c("HomeSquareFootage") >= 100, c("HomeSquareFootage"))).alias("m_feet")),
+    )
     joined = (
         df.alias("d").join(usual.alias("u"), same_key("d", "u", ["PropertyState"]), "left")
         .join(feet.alias("f"), same_key("d", "f", ["PropertyState"]), "left")

@@ -22,7 +22,7 @@ from hammerline.functions.scoring import (
     VALUATION_TERMS, term_value,
 )
 from hammerline.params import LISTING_KEY
-from hammerline.session import settle
+from hammerline.session import settle, settle_all
 
 STATE = "PropertyState"
 MAX_STATES = 5000  # coefficients are returned to the driver between iterations; more groups are refused
@@ -334,12 +334,14 @@ def valuation_training(df: DataFrame) -> DataFrame:
         STATE, *[F.lit(-1).cast("long").alias(k) for k in LISTING_KEY], "BPO", *_MEDIAN_ROW, *unknown)
     together = rows.unionByName(settle(extra))
     c = F.col
-    middles = settle(small_domain_medians(together, [STATE], {
-        "m_Bedrooms": F.when(c("Bedrooms") > 0, c("Bedrooms")), "m_Baths": F.when(c("Baths") > 0, c("Baths")),
-        "m_Age": F.when(c("Age") < 200, c("Age")),
-    }))
-    feet = settle(together.groupBy(STATE).agg(
-        F.avg(F.when(c("HomeSquareFootage") >= 100, c("HomeSquareFootage"))).alias("m_feet")))
+    middles, feet = settle_all(
+        small_domain_medians(together, [STATE], {
+            "m_Bedrooms": F.when(c("Bedrooms") > 0, c("Bedrooms")), "m_Baths": F.when(c("Baths") > 0, c("Baths")),
+            "m_Age": F.when(c("Age") < 200, c("Age")),
+        }),
+        together.groupBy(STATE).agg(
+            F.avg(F.when(c("HomeSquareFootage") >= 100, c("HomeSquareFootage"))).alias("m_feet")),
+    )
     return (
         together.join(middles, STATE).join(feet, STATE)
         .withColumns({

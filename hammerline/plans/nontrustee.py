@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hammerline.functions.columns import flag, ratio
 from hammerline.operators import bidders, explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
-from hammerline.session import settle
+from hammerline.session import settle_all
 
 Warehouse = Mapping[str, DataFrame]
 
@@ -27,12 +27,13 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
     ended = history.past(live, p, date_col) if scoring else live
     chosen = history.upcoming(live, p, date_col) if scoring else _with_open_venue(live, wh)
 
-    core = settle(_core(chosen, wh, p, date_col, null_is_unknown=scoring))
-    leveled = fx.event_sizes(fx.value_levels(core))
-
     lines = wh["dim_property"] if scoring else None
-    zips = settle(history.zip_sell_through(ended, wh["dim_property"], p, product_lines=scoring))
-    sellers = settle(history.seller_portfolio(ended, wh["dim_seller"], p, lines))
+    core, zips, sellers = settle_all(
+        _core(chosen, wh, p, date_col, null_is_unknown=scoring),
+        history.zip_sell_through(ended, wh["dim_property"], p, product_lines=scoring),
+        history.seller_portfolio(ended, wh["dim_seller"], p, lines),
+    )
+    leveled = fx.event_sizes(fx.value_levels(core))
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
 
     key = list(LISTING_KEY)
@@ -104,7 +105,10 @@ def _core(listings: DataFrame, wh: Warehouse, p: Params, date_col: str, null_is_
         .join(seller, F.col("ds.SellerId") == F.col("fr.SellerId"), "left")
         .join(wh["dim_seller_group"].alias("sg"), F.col("ds.SellerCode") == F.col("sg.SellerCode"), "left")
     )
-    bpo = fx.valuation(p, parent="ds.SellerParent")
+    joined = joined.withColumns({
+        "_reserve": fx.reserve(), "_positive": fx.positive_reserve(), "_bpo": fx.valuation(p, parent="ds.SellerParent"),
+    })
+    bpo, positive = F.col("_bpo"), F.col("_positive")
     return joined.select(
         "dp.GlobalPropertyId", "fa.SystemAuctionId", *[f"fa.{k}" for k in LISTING_KEY], "fa.REDCID",
         "dp.LoanNbr", "dp.PropertyState", "dp.PropertyZip", "dp.PropertyCounty", "dp.PropertyCity",
@@ -117,9 +121,8 @@ def _core(listings: DataFrame, wh: Warehouse, p: Params, date_col: str, null_is_
         fx.financing_flag(F.col("pas.FinancingAvailable")).alias("FinancingAvailable"),
         *[c.alias(n) for n, c in fx.deed_flags(F.col("sg.DeedType")).items()],
         "fa.IsSold", "fa.RunNum", fx.attempts_sign(F.col("fa.RunNum")).alias("HasPrevAttempts"),
-        fx.reserve().alias("Reserve"), bpo.alias("BPO"),
-        (bpo - fx.positive_reserve()).alias("BPOSurplus"),
-        (ratio(bpo, fx.positive_reserve()) - 1).alias("BPOSurplusPct"),
+        F.col("_reserve").alias("Reserve"), bpo.alias("BPO"), (bpo - positive).alias("BPOSurplus"),
+        (ratio(bpo, positive) - 1).alias("BPOSurplusPct"),
         "dp.HomeSquareFootage", "dp.Bedrooms", "dp.Baths",
         (F.lit(p.reference_year) - F.col("dp.YearBuilt")).alias("Age"), "dp.LotSize",
         "fa.StartingBid", "fr.IsSubjectToApproval", "fa.SubjToAccepted",

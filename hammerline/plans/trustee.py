@@ -11,7 +11,7 @@ from hammerline.functions.columns import flag, ratio
 from hammerline.operators import explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
 from hammerline.plans.nontrustee import Warehouse
-from hammerline.session import settle
+from hammerline.session import settle_all
 
 
 def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
@@ -19,12 +19,14 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
     held = history.past(recent, p) if scoring else recent
     chosen = history.upcoming(recent, p) if scoring else recent
 
-    core = settle(_core(chosen, wh, p))
+    core, zips, trustees = settle_all(
+        _core(chosen, wh, p),
+        history.trustee_zip_sell_through(held, wh["dim_property"], p),
+        history.trustee_portfolio(held, wh["dim_trustee"], p),
+    )
     sized = fx.with_state_mean(core, "HomeSquareFootage", "_state_sqft")
     leveled = fx.event_sizes(fx.value_levels(sized))
 
-    zips = settle(history.trustee_zip_sell_through(held, wh["dim_property"], p))
-    trustees = settle(history.trustee_portfolio(held, wh["dim_trustee"], p))
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
     marks_of = history.only_for(wh["fact_property_favorites"], core, list(favorite_key))
     past_runs = history.only_for(wh["fact_trustee_auction"], core, ["PropertyId"])
@@ -64,7 +66,8 @@ def _core(listings: DataFrame, wh: Warehouse, p: Params) -> DataFrame:
         .join(wh["dim_geo"].alias("dg"), F.col("dg.GeoId") == F.col("fa.GeoId"), "left")
         .join(wh["dim_trustee"].alias("dt"), F.col("dt.TrusteeId") == F.col("fa.TrusteeId"), "left")
     )
-    reserve, value = fx.trustee_reserve("fa."), fx.trustee_valuation("fa.")
+    joined = joined.withColumns({"_reserve": fx.trustee_reserve("fa."), "_value": fx.trustee_valuation("fa.")})
+    reserve, value = F.col("_reserve"), F.col("_value")
     won = F.coalesce("fa.WinningBid", "fa.HighBidAmt")
     return joined.select(
         "dp.GlobalPropertyId", "fa.SystemAuctionId", *[f"fa.{k}" for k in LISTING_KEY], "fa.REDCID",

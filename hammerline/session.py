@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,9 @@ DEFAULTS = {
 }
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def session(master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName("hammerline")
     if master:
@@ -27,14 +31,12 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only for a local master that names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _local_dirs.get(spark.sparkContext.applicationId)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="hammerline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="hammerline-"))
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -48,3 +50,9 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_all(*frames: DataFrame) -> list[DataFrame]:
+    """Settle independent intermediates side by side, so that small jobs do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return list(pool.map(settle, frames))
