@@ -127,8 +127,8 @@ _PEAKS = "MaxBid:6 WinningBid:6 Winner:i StartingBid:6 Reserve:6 beds:i baths:2
 add("bidder_history", f"bidderemail {K} PropertyCounty {_PEAKS}", "bid_history")(_history)
 add("bidder_history_dated", f"bidderemail {K} PropertyCounty AuctionDate:d {_PEAKS}", "bid_history_dated")(
     lambda wh: _history(wh, True))
-add("bidder_budget", "bidderemail AssetsBidUpon:i AvgMaxBid:9 AvgWinRate:6 FallOutRate:6 AvgMaxBidAsShareOfReserve:6 AvgStartingBid:9 "
-    "AvgReserve:9 avgBeds:6 avgBaths:6 avgLotSize:6 AvgYearBuilt:9 AvgBPO:9", "budget")(lambda wh: bidders.bidder_budget(_history(wh)))
+add("bidder_budget", "bidderemail AssetsBidUpon:i AvgMaxBid:7 AvgWinRate:6 FallOutRate:6 AvgMaxBidAsShareOfReserve:6 AvgStartingBid:7 "
+    "AvgReserve:7 avgBeds:6 avgBaths:6 avgLotSize:6 AvgYearBuilt:7 AvgBPO:7", "budget")(lambda wh: bidders.bidder_budget(_history(wh)))
 add("bidder_attendance", "bidderemail totalattended:i totalregistrations:i attendance:6", "attendance_rate")(_attendance)
 _MATCHED = f"{K} bidderemail Reserve:6 ReserveMatch:6 Bedmatch:6 Bathmatch:6 Lotmatch:6 NaturalScore:6 BidderScore:6"
 
