@@ -162,6 +162,9 @@ def fit_and_score(rows: DataFrame, line: Line, p: Params, estimates: DataFrame |
     other = None
     if second is not None:
         filled = impute.second_population_fill(second)
+        if not line.trustee:
+            filled = impute.quality_flags(filled).withColumn(
+                "IsSubjectToApproval", F.coalesce("IsSubjectToApproval", F.lit(0)))
         other = score(filled, (*explain.MASKED, "IsSubjectToApproval"), explain.SECOND_POPULATION_FAULT_NAMES)
     return Fitted(full, short, coefficients, other)
 
