@@ -93,7 +93,7 @@ def _count_near(radius: int):
                     near = pairs(a[at:at + 256, None], b[None, :], earlier)
                     rows[at:at + 256] += near.sum(axis=1)
                     columns += near.sum(axis=0)
-                if o is None:  # a shard on itself: rows have every pair, and each fingerprint itself
+                if o is None and not earlier:  # a shard on itself: in the first table each fingerprint has met itself as well
                     rows -= 1
                 for values, counts in ((a, rows),) if o is None else ((a, rows), (b, columns)):
                     some = np.flatnonzero(counts > 0)
