@@ -9,8 +9,6 @@ equal texts have equal fingerprints. Each term's hash adds its weight to the bit
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,24 +23,44 @@ from hammerline.session import settle
 
 RADIUS = 3
 SEED = 42
+SPREAD = np.uint64(0x9E3779B97F4A7C15)  # an odd number without pattern
+SCALE, CHUNK = 16, 1024  # a chunk's votes stay below 2^24, which 32-bit floats add exactly
+REMEMBERED = 500_000
 
 
-def fingerprint(text: str, seed: int = SEED) -> int:
+_hashes: dict[bytes, int] = {}  # of words that this Python worker has met
+
+
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    new = set(words).difference(_hashes)
+    if new:
+        if len(_hashes) > REMEMBERED:
+            _hashes.clear()
+            new = set(words)
+        _hashes.update((w, xxhash.xxh64_intdigest(w, SEED)) for w in new)
+    return np.fromiter(map(_hashes.__getitem__, words), dtype="<u8", count=len(words))
+
+
+def fingerprint(text: str) -> int:
     """Signed 64-bit SimHash of the weighted terms of a text; 0 without a word."""
     words = text.encode().lower().split()
     if not words:
         return 0
-    terms = Counter(map(b" ".join, pairwise(words))) if len(words) > 1 else Counter(words)
-    digest, n = xxhash.xxh64_intdigest, len(terms)
-    hashes = np.fromiter((digest(t, seed) for t in terms), dtype="<u8", count=n)
-    counts = np.fromiter(terms.values(), dtype=np.float64, count=n)
-    weights = (1 + np.log(counts)) * np.log1p(np.fromiter(map(len, terms), dtype=np.float64, count=n))
-    # in whole numbers, so that the sum does not depend on the order of the terms
-    weights = np.rint(weights * 1024).astype(np.int64)
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, n, 1 << 14):
-        bits = np.unpackbits(hashes[at:at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += weights[at:at + (1 << 14)] @ bits
+    hashes = _word_hashes(words)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    if len(words) > 1:
+        # a pair's hash: its words' hashes, the second one turned and spread, mixed
+        first, second = hashes[:-1], hashes[1:] * SPREAD
+        hashes = (first ^ (second << np.uint64(31)) ^ (second >> np.uint64(33))) * SPREAD
+        hashes ^= hashes >> np.uint64(29)
+        sizes = sizes[:-1] + sizes[1:] + 1
+    hashes, at, counts = np.unique(hashes, return_index=True, return_counts=True)
+    # in small whole numbers: sums are exact, in whatever order
+    weights = np.rint((1 + np.log(counts)) * np.log1p(sizes[at]) * SCALE)
+    ones = np.zeros(64)
+    for start in range(0, len(hashes), CHUNK):
+        bits = np.unpackbits(hashes[start:start + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += weights[start:start + CHUNK].astype(np.float32) @ bits.astype(np.float32)
     return int(np.packbits(2 * ones > weights.sum(), bitorder="little").view("<i8")[0])
 
 

@@ -47,7 +47,8 @@ class Pieces:
         if any(MARK in names[i].lstrip(MARK) for i in plain):
             raise ValueError("a piece of this vocabulary crosses words")
         self.scores = {names[i]: (model.get_score(i), i) for i in plain}
-        self.longest = max(map(len, self.scores))
+        # every ending of a piece, so that a search backwards from a place stops where no piece goes on
+        self.endings = {p[k:]: None for p in self.scores for k in range(1, len(p))} | self.scores
         self.unknown = min(s for s, _ in self.scores.values()) - 10
         of_byte, kept = {i: b for b, i in self.bytes.items()}, set(plain)
         self.content = [bytes([of_byte[i]]) if i in of_byte else names[i].replace(MARK, " ").encode() if i in kept else b"" for i in range(size)]
@@ -58,7 +59,7 @@ class Pieces:
         """Ids (little-endian unsigned 32 bits) of each distinct word."""
         out, path, scores = {}, "", [0.0]
         back: list[tuple[int, int | None]] = [(0, None)]
-        get, longest = self.scores.get, self.longest
+        get, nothing = self.endings.get, ()
         for word in sorted(words):
             shared = 0
             for a, b in zip(word, path):
@@ -67,15 +68,16 @@ class Pieces:
                 shared += 1
             del scores[shared + 1:], back[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                best, found = None, None
-                for start in range(max(0, end - longest), end):
-                    piece = get(word[start:end])
-                    if piece is not None and (best is None or scores[start] + piece[0] > best):
+                start = end - 1
+                piece = get(word[start])
+                # a character without a piece of its own
+                best, found = (None, None) if piece else (scores[start] + self.unknown, (start, None))
+                while True:
+                    if piece and (best is None or scores[start] + piece[0] >= best):  # of equals the longer
                         best, found = scores[start] + piece[0], (start, piece[1])
-                if get(word[end - 1]) is None:
-                    alone = scores[end - 1] + self.unknown
-                    if best is None or alone > best:
-                        best, found = alone, (end - 1, None)
+                    start -= 1
+                    if start < 0 or (piece := get(word[start:end], nothing)) is nothing:
+                        break
                 scores.append(best)
                 back.append(found)
             path, at, ids = word, len(word), []

@@ -9,6 +9,7 @@ document's odds are its likelihood ratio times the odds of its path.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -41,13 +42,11 @@ class Features:
             return [0.0] * (len(FEATURES) - 1) + [1.0]
         counts = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
         lines = [line for line in text.split(b"\n") if line.strip()]
-        distinct = len(set(words))
-        top = max(map(words[:1000].count, set(words[:50]))) / min(n, 1000)  # of the words a text begins with
+        often = Counter(words)
         shares = [float(counts[c].sum()) / size for c in self.classes]
         other = float(counts[:9].sum() + counts[127]) / size
-        # how many distinct words a text of its length should have at least, in logs
-        return [math.log1p(n), min(30.0, (len(text) - n) / n), *shares, other, math.log(distinct) / math.log(n) if n > 1 else 1.0,
-                len(set(lines)) / len(lines), math.log1p(n / len(lines)), top, float(n < 20)]
+        return [math.log1p(n), min(30.0, (len(text) - n) / n), *shares, other, math.log(len(often)) / math.log(n) if n > 1 else 1.0,
+                len(set(lines)) / len(lines), math.log1p(n / len(lines)), max(often.values()) / n, float(n < 20)]
 
     def __call__(self, texts: list[bytes]) -> list[list]:
         return [[self.one(t) for t in texts]]

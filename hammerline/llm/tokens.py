@@ -57,39 +57,43 @@ class Encoder:
         for at in range(0, len(words), at_once):
             part = words[at:at + at_once]
             ids = np.asarray(self.merges.encode(" ".join(mapped[at:at + at_once]), add_special_tokens=False).ids, dtype="<u2")
-            runs = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            if len(runs) != len(part):
+            stops, raw = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist(), ids.tobytes()
+            if len(stops) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of words")
-            self.words.update((w, r.tobytes()) for w, r in zip(part, runs, strict=True))
+            self.words.update((w, raw[start:stop]) for w, start, stop in zip(part, [0, *stops[:-1]], stops, strict=True))
+
+    def _split(self, chunk: str) -> list[str] | None:
+        """The tokenizer's words of a chunk; None where normalisation could do more than lower-case it."""
+        if not (chunk.isascii() or self.plain(chunk)):
+            return None
+        if chunk.isalpha():
+            return [chunk.lower()]
+        if chunk[:-1].isalpha() and chunk[-1] in ".,":
+            return [chunk[:-1].lower(), chunk[-1]]
+        return self.split(chunk.lower())
 
     def _learn(self, chunks: set[bytes]) -> None:
         split = {}
         for c in chunks:
-            text = c.decode()
-            if self.plain(text):
-                split[c] = self.split(text.lower())
-            else:
+            if (words := self._split(c.decode())) is None:
                 self.chunks[c] = self._library(c)
-        self._learn_words(list({w for words in split.values() for w in words} - self.words.keys()))
+            else:
+                split[c] = words
         known = self.words
+        self._learn_words(list({w for words in split.values() for w in words}.difference(known)))
         self.chunks.update((c, b"".join([known[w] for w in words])) for c, words in split.items())
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if SPECIAL in text:
-                out.append(self._library(text))
-                continue
-            if len(self.chunks) > CHUNKS:
-                self.chunks.clear()
-            if len(self.words) > WORDS:
-                self.words.clear()
-            parts = text.split()
-            new = set(parts).difference(self.chunks)
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(self.chunks.__getitem__, parts)))
-        return out
+        if len(self.chunks) > CHUNKS:
+            self.chunks.clear()
+        if len(self.words) > WORDS:
+            self.words.clear()
+        parts = [None if SPECIAL in text else text.split() for text in texts]
+        new = set().union(*[p for p in parts if p]).difference(self.chunks)
+        if new:
+            self._learn(new)
+        ids = self.chunks.__getitem__
+        return [self._library(text) if p is None else b"".join(map(ids, p)) for text, p in zip(texts, parts, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
