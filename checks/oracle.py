@@ -349,7 +349,7 @@ CTES["placed"] = """
          CAST(floor(count(CASE WHEN d.Value < u.Reserve THEN 1 END) + 1 + count(CASE WHEN d.Value = u.Reserve THEN 1 END) / 2.0) AS INTEGER) - 1 AS Place
   FROM unvalued u LEFT JOIN decile d ON u.PropertyState = d.PropertyState GROUP BY ALL"""
 CTES["mixed"] = """
-  SELECT q.*, (4 * CASE WHEN p >= 3 * Reserve THEN 3 * Reserve ELSE p END + b.Value) / 5 AS m
+  SELECT q.*, CASE WHEN b.Value IS NULL THEN 3 * Reserve ELSE (4 * CASE WHEN p >= 3 * Reserve THEN 3 * Reserve ELSE p END + b.Value) / 5 END AS m
   FROM (SELECT *, CASE WHEN Predicted <= 0 OR Predicted IS NULL THEN coalesce(StartingBid, 0) ELSE Predicted END AS p FROM placed) q
   LEFT JOIN bucket_unvalued b ON q.PropertyState = b.PropertyState AND q.Place = b.Place"""
 CTES["blended"] = f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -18,7 +19,8 @@ from hammerline.params import LISTING_KEY, Params
 from hammerline.plans import nontrustee, trustee
 from hammerline.session import settle, shared_dir
 
-P = Params(as_of=date(2001, 5, 15), programme_start=date(2000, 1, 1), registration_start=date(2000, 1, 1))
+P = Params(as_of=date(2001, 5, 15), programme_start=date(2000, 1, 1), registration_start=date(2000, 1, 1),
+           training_registration_start=date(2000, 1, 1))
 
 
 @dataclasses.dataclass(frozen=True)
@@ -368,7 +370,7 @@ add("predictions_trustee", f"{K} AuctionDate:d {_TPROBS} RecommendedMaxReservePr
 
 
 def _published(wh):
-    path = f"{shared_dir(wh.spark)}/history-{id(wh)}"
+    path = f"{shared_dir(wh.spark)}/history-{uuid.uuid4().hex}"
     final = settle(_final(wh))
     publish.append_history(final, path, 1)
     publish.append_history(final, path, 2)
@@ -380,10 +382,10 @@ add("publish_history", f"{K} RunId:i MostRecentData:i AuctionDaySalePrediction:7
 
 
 def _snapshot(wh):
-    path = f"{shared_dir(wh.spark)}/current-{id(wh)}"
+    path = f"{shared_dir(wh.spark)}/current-{uuid.uuid4().hex}"
     publish.replace_current(_final(wh), path)
     publish.replace_current(publish.current_rows(_published(wh)).drop("RunId", "MostRecentData"), path)
-    return wh.spark.read.parquet(path)
+    return publish.read_current(wh.spark, path)
 
 
 add("publish_current", f"{K} MostRecentData:i AuctionDaySalePrediction:7 Negative1", "current_table")(_snapshot)

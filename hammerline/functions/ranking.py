@@ -104,27 +104,16 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[f
     return picked.select(*group, F.array(*blended).alias(out))
 
 
-def small_domain_medians(df: DataFrame, group: Sequence[str], values: dict[str, Column]) -> DataFrame:
-    """Exact medians of columns with few distinct values (years, room counts, postal statistics).
+def medians(df: DataFrame, group: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Exact medians of several columns, per group or (without one) of all rows: one row a group, a column a name.
 
-    Rows are first collapsed to (group, name, value, count), so a group's final state holds its
-    distinct values only, however many rows it has.
+    The columns go through one distributed quantile side by side, as (group, name, value) rows with counts, so that no
+    task holds the distinct values of a group, and a nation is a group like any other.
     """
-    pairs = [
-        F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"))
-        for name, value in values.items()
-    ]
-    counts = (
-        df.select(*group, F.explode(F.array(*pairs)).alias("_p"))
-        .filter(F.col("_p.value").isNotNull())
-        .groupBy(*group, F.col("_p.name").alias("_name"), F.col("_p.value").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    picks = [
-        F.percentile(F.when(F.col("_name") == name, F.col("_value")), 0.5, F.col("_n")).alias(name)
-        for name in values
-    ]
-    return counts.groupBy(*group).agg(*picks)
+    pairs = [F.struct(F.lit(name).alias("_name"), value.cast("double").alias("_value")) for name, value in values.items()]
+    long = df.select(*group, F.explode(F.array(*pairs)).alias("_p")).select(*group, "_p.*")
+    middle = quantiles(long, [*group, "_name"], "_value", [0.5], "_q")
+    return middle.groupBy(*group).agg(*[F.max(F.when(F.col("_name") == name, F.col("_q")[0])).alias(name) for name in values])
 
 
 def two_smallest(df: DataFrame, key: Sequence[str], item: str) -> DataFrame:

@@ -79,15 +79,17 @@ def bidder_budget(history: DataFrame) -> DataFrame:
     )
 
 
-def bidder_attendance(registrations: DataFrame, bids: DataFrame, dim_bidder: DataFrame, p: Params) -> DataFrame:
+def bidder_attendance(registrations: DataFrame, bids: DataFrame, dim_bidder: DataFrame, p: Params,
+                      training: bool = False) -> DataFrame:
     """Distinct properties bid on over distinct properties registered for, per e-mail."""
+    start = p.training_registration_start if training else p.registration_start
     emails = dim_bidder.select("BidderId", "bidderemail")
 
     def distinct_properties(df: DataFrame, out: str) -> DataFrame:
         return df.join(emails, "BidderId").groupBy("bidderemail").agg(F.count_distinct("PropertyId").alias(out))
 
     registered = distinct_properties(
-        registrations.filter(F.col("CreateDate") >= F.lit(p.registration_start)).select("BidderId", "PropertyId"),
+        registrations.filter(F.col("CreateDate") >= F.lit(start)).select("BidderId", "PropertyId"),
         "totalregistrations",
     )
     # bids repeat per bidder and property far more often than registrations do

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hammerline.functions.columns import ratio, same_key
 from hammerline.functions.ranking import two_smallest
 from hammerline.functions.scoring import SALE_TERMS, TRUSTEE_TERMS
+from hammerline.operators.scoring import single
 from hammerline.params import LISTING_KEY, Params
 from hammerline.session import settle
 
@@ -196,7 +197,7 @@ def centred_faults(df: DataFrame, weights: DataFrame, terms: Sequence[str], cent
     """
     centres = state_centres(df, terms) if centres is None else centres
     wide = settle(
-        weights.groupBy("PropertyState").pivot("term", list(terms)).agg(F.first("weight"))
+        weights.groupBy("PropertyState").pivot("term", list(terms)).agg(single("weight"))
         .select("PropertyState", F.array(*[F.col(t) for t in terms]).alias("_w"))
     )
     parts = [

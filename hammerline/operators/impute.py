@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.functions.columns import all_present, number, ratio, same_key
-from hammerline.functions.ranking import quantiles, small_domain_medians
+from hammerline.functions.ranking import medians, quantiles
 from hammerline.params import Params
 from hammerline.session import settle, settle_all
 
@@ -57,12 +57,11 @@ def fitted_states(df: DataFrame, min_rows: int) -> DataFrame:
 
 # ---- market metrics -------------------------------------------------------------------------
 
-def hierarchical_fill(df: DataFrame, metrics: Sequence[str] = FILLED, deciding: str = DECIDING,
-                      continuous: Sequence[str] = ("MedianPPSQFTDeviation",)) -> DataFrame:
+def hierarchical_fill(df: DataFrame, metrics: Sequence[str] = FILLED, deciding: str = DECIDING) -> DataFrame:
     """Rows without the deciding metric take all metrics of their county, else state, else nation.
 
-    County and state means come from one grouped pass; the national medians of ``continuous`` metrics
-    from an exact distributed quantile, those of the others from their few distinct values.
+    County and state means come from one grouped pass, the national medians of all metrics from one exact
+    distributed quantile.
     """
     tallies = [F.sum(m).alias(f"s_{m}") for m in metrics] + [F.count(m).alias(f"n_{m}") for m in metrics]
     county = settle(df.groupBy("PropertyState", "PropertyCounty").agg(*tallies))
@@ -72,11 +71,7 @@ def hierarchical_fill(df: DataFrame, metrics: Sequence[str] = FILLED, deciding:
     def means(prefix: str) -> list[Column]:
         return [ratio(F.col(f"s_{m}"), F.col(f"n_{m}").cast("double")).alias(f"{prefix}{m}") for m in metrics]
 
-    few = [m for m in metrics if m not in continuous]
-    nation = small_domain_medians(df, [], {m: F.col(m) for m in few}).first().asDict()
-    for m in continuous:
-        row = quantiles(df.select(F.lit(1).alias("_all"), m), ["_all"], m, [0.5], "q").first()
-        nation[m] = row["q"][0] if row else None
+    nation = national_medians(df, metrics)
     joined = (
         df.alias("d")
         .join(county.select("PropertyState", "PropertyCounty", *means("c_")).alias("c"),
@@ -94,6 +89,12 @@ def hierarchical_fill(df: DataFrame, metrics: Sequence[str] = FILLED, deciding:
     return joined.select(*[f"d.{c}" for c in df.columns if c not in metrics], *filled)
 
 
+def national_medians(df: DataFrame, names: Sequence[str]) -> dict[str, float | None]:
+    """One number a column; None where it has no value."""
+    row = medians(df, [], {n: F.col(n) for n in names}).first()
+    return {n: row[n] if row else None for n in names}
+
+
 def second_population(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """A separately delivered population: numbers read from text, rows without a reserve dropped."""
     return df.withColumns({c: number(F.col(c)) for c in numeric}).filter(F.col("Reserve").isNotNull())
@@ -123,7 +124,7 @@ def second_population_fill(df: DataFrame) -> DataFrame:
 def state_repair(df: DataFrame, national_postal: bool = False) -> DataFrame:
     """Replace implausible or missing home facts and postal statistics by their state's usual value."""
     c = F.col
-    medians = {
+    middles = {
         "m_Age": F.when(c("Age") < 200, c("Age")),
         "m_Bedrooms": F.when(c("Bedrooms") > 0, c("Bedrooms")),
         "m_Baths": F.when(c("Baths") > 0, c("Baths")),
@@ -131,7 +132,7 @@ def state_repair(df: DataFrame, national_postal: bool = False) -> DataFrame:
         "m_Vacancy": c("Vacancy"),
     }
     usual, feet = settle_all(
-        small_domain_medians(df, ["PropertyState"], medians),
+        medians(df, ["PropertyState"], middles),
         df.groupBy("PropertyState").agg(
             F.avg(F.when(c("HomeSquareFootage") >= 100, c("HomeSquareFootage"))).alias("m_feet")),
     )
@@ -141,7 +142,7 @@ def state_repair(df: DataFrame, national_postal: bool = False) -> DataFrame:
     )
     nation = {"TotalActive": None, "Vacancy": None}
     if national_postal:
-        nation = small_domain_medians(df, [], {n: c(n) for n in nation}).first().asDict()
+        nation = national_medians(df, list(nation))
     d = lambda n: c(f"d.{n}").cast("double")
     repaired = {
         "Age": F.when(d("Age") > 200, c("m_Age")).otherwise(d("Age")),
@@ -223,7 +224,8 @@ def blend_valuation(df: DataFrame, p: Params, predicted: str, opening: str = "St
     reserve = F.col("d.Reserve")
     bounded = bounded_prediction(F.col(f"d.{predicted}"), F.col(f"d.{opening}"), reserve)
     bucket = F.get(F.col("m.BucketBPO"), reserve_position(reserve, F.col("m.Breakpoints")) - 1)
-    mixed = (4 * bounded + bucket) / 5
+    # the lowest of no valuation at all is without bound, so that the limit of three reserves holds
+    mixed = F.when(bucket.isNull(), 3 * reserve).otherwise((4 * bounded + bucket) / 5)
     mixed = F.when(mixed >= 3 * reserve, 3 * reserve).otherwise(mixed)
     wanted = F.col("d.BPO").isNull() & (F.col(f"d.{date_col}") >= F.date_sub(F.lit(p.as_of), p.holdout_days))
     out = joined.select("d.*", F.when(wanted, mixed).otherwise(F.col("d.BPO")).alias("_bpo"))

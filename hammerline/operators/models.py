@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hammerline.functions import solvers
 from hammerline.functions.columns import all_present, ratio, same_key
-from hammerline.functions.ranking import quantiles, small_domain_medians
+from hammerline.functions.ranking import medians, quantiles
 from hammerline.functions.scoring import (
     CONDITIONS, LEVELS, OCCUPANCY, PRICE_TERMS, SALE_TERMS, TIMES, TRUSTEE_PRICE_TERMS, TRUSTEE_TERMS,
     VALUATION_TERMS, term_value,
@@ -25,7 +25,6 @@ from hammerline.params import LISTING_KEY
 from hammerline.session import settle, settle_all
 
 STATE = "PropertyState"
-MAX_STATES = 5000  # coefficients are returned to the driver between iterations; more groups are refused
 
 # Regressors of each fit.
 VALUATION_FIT = (*VALUATION_TERMS, f"Bedrooms{TIMES}Baths")
@@ -195,9 +194,9 @@ def _lambda(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -
         for t, target in enumerate(targets):
             own = [*range(p + 1), p + 1 + t]
             rows.append((pdf[STATE].iloc[0], target, *solvers.cross_validated_penalty(folds[:, own][:, :, own])))
-        return pd.DataFrame(rows, columns=[STATE, "label", "lambda", "loss"])
+        return pd.DataFrame(rows, columns=[STATE, "label", "lambda", "loss", "path_end"])
 
-    schema = f"{STATE} string, label string, lambda double, loss double"
+    schema = f"{STATE} string, label string, lambda double, loss double, path_end double"
     return _by_state(moments(standard, terms, targets), one_state, schema)
 
 
@@ -233,42 +232,59 @@ def shortfall() -> Column:
     return ratio(F.col("Reserve") - F.col("HighBid"), F.col("Reserve"))
 
 
+CONVERGED, ONE_CLASS, RUNNING, STOPPED = "converged", "one class", "running", "not converged"
+
+
 def ridge_logistic(df: DataFrame, terms: Sequence[str], labels: Sequence[str], floor: float = 1e-4,
-                   iterations: int = 25, tol: float = 1e-6) -> DataFrame:
-    """Ridge logistic regression of every label in every state.
+                   tol: float = 1e-6, most: int = 100) -> DataFrame:
+    """Ridge logistic regression of every label in every state: (state, model, term, value), see ``ridge_logistic_fits``."""
+    return ridge_logistic_fits(df, terms, labels, floor, tol, most).select(STATE, "model", "term", "value")
+
+
+def ridge_logistic_fits(df: DataFrame, terms: Sequence[str], labels: Sequence[str], floor: float = 1e-4,
+                        tol: float = 1e-6, most: int = 100) -> DataFrame:
+    """Ridge logistic regression of every label in every state, with ``status``, ``passes`` and ``penalty`` of each fit.
 
-    The penalty of a (state, label) is its cross-validated lasso penalty, never below ``floor``, which
-    keeps separable states finite. The near-zero lasso share of the original mix is dropped. Each
-    iteration is one pass over the rows for all states and labels together.
+    The penalty of a (state, label) is its cross-validated lasso penalty, never below the end of the near-ridge
+    path nor below ``floor``. The near-zero lasso share of the original mix is dropped. Each pass over the rows is a
+    Newton step of all fits that still move; coefficients stay in a small settled frame that the rows are joined with, and
+    only how many fits still move comes back. A state with one class of a label has no finite optimum: it gets the
+    smoothed share of its class and no slopes. A fit that still moves after ``most`` passes says so in its status.
     """
     standard, stats = design(df, terms, labels)
-    penalty_rows = _lambda(standard, terms, labels).toPandas()
-    if penalty_rows[STATE].nunique() > MAX_STATES:
-        raise ValueError(f"more than {MAX_STATES} groups; fit coarser groups")
     size = len(terms) + 1
-    lam = {(r[STATE], r["label"]): max(r["lambda"], floor) for _, r in penalty_rows.iterrows()}
-    beta = {k: np.zeros(size) for k in lam}
-    for _ in range(iterations):
-        fresh = _newton_pass(standard, terms, labels, beta, lam)
-        moved = max(float(np.abs(fresh[k] - beta[k]).max()) for k in fresh)
-        beta.update(fresh)
-        if moved < tol:
+    tally = standard.groupBy(STATE).agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(f"ones_{x}") for x in labels])
+    tally = tally.select(STATE, F.col("n").cast("double").alias("n"), F.explode(F.array(*[
+        F.struct(F.lit(x).alias("label"), F.col(f"ones_{x}").alias("ones")) for x in labels])).alias("c")).select(STATE, "n", "c.*")
+    lam = _lambda(standard, terms, labels).select(STATE, "label", F.greatest("lambda", "path_end", F.lit(floor)).alias("penalty"))
+    mixed = (F.col("ones") > 0) & (F.col("ones") < F.col("n"))
+    prior = F.when(mixed, 0.0).otherwise(F.log((F.col("ones") + 0.5) / (F.col("n") - F.col("ones") + 0.5)))
+    fits = settle(tally.join(lam, [STATE, "label"]).select(
+        STATE, "label", "penalty", F.concat(F.array(prior), F.array_repeat(F.lit(0.0), size - 1)).alias("beta"),
+        F.when(mixed, RUNNING).otherwise(ONE_CLASS).alias("status"), F.lit(0).alias("passes")))
+    for k in range(1, most + 1):
+        if not fits.filter(F.col("status") == RUNNING).limit(1).count():
             break
-    return _to_raw(df, beta, stats, terms)
+        moved = _newton_pass(standard, terms, labels, fits.filter(F.col("status") == RUNNING))
+        now = F.when(F.col("moved") < tol, CONVERGED).when(F.lit(k == most), STOPPED).otherwise(RUNNING)
+        fits = settle(moved.select(STATE, "label", "penalty", "beta", now.alias("status"), F.lit(k).alias("passes")).unionByName(
+            fits.filter(F.col("status") != RUNNING)))
+    return _to_raw(fits, stats, terms)
 
 
-def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str], beta: dict, lam: dict) -> dict:
+def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str], fits: DataFrame) -> DataFrame:
+    """(state, label, penalty, beta, moved) of ``fits`` after one step."""
     size = len(terms) + 1
-    columns, terms = list(terms), list(terms)
+    columns = list(terms)
+    betas = fits.groupBy(STATE).agg(F.map_from_entries(F.collect_list(F.struct("label", "beta"))).alias("_beta"))
 
     def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
         for pdf in batches:
             for state, part in pdf.groupby(STATE, sort=False):
                 x = np.column_stack([np.ones(len(part)), part[columns].to_numpy(float)])
-                for label in labels:
-                    b = beta[(state, label)]
-                    prob = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+                for label, b in dict(part["_beta"].iloc[0]).items():
+                    prob = 1 / (1 + np.exp(-np.clip(x @ np.asarray(b, dtype=float), -30, 30)))
                     weighted = x * (prob * (1 - prob))[:, None]
                     block = np.zeros((size + 1, size))
                     block[:size] = x.T @ weighted
@@ -286,35 +302,40 @@ def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str
             })
 
     def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, label = pdf[STATE].iloc[0], pdf["label"].iloc[0]
-        inner = pdf[pdf["i"] < size]
-        hessian = _matrix(inner, size)
-        gradient = np.zeros(size)
-        edge = pdf[pdf["i"] == size]
-        gradient[edge["j"].to_numpy()] = edge["v"].to_numpy()
-        n = float(pdf[pdf["i"] == size + 1]["v"].iloc[0])
-        fresh = solvers.newton_step(hessian, gradient, beta[(state, label)], n, lam[(state, label)])
-        return pd.DataFrame({STATE: state, "label": label, "i": np.arange(size), "v": fresh})
+        hessian = _matrix(pdf[(pdf["i"] >= 0) & (pdf["i"] < size)], size)
+        gradient, beta = np.zeros(size), np.zeros(size)
+        for kind, out in ((size, gradient), (-1, beta)):
+            part = pdf[pdf["i"] == kind]
+            out[part["j"].to_numpy()] = part["v"].to_numpy()
+        n, lam = (float(pdf[pdf["i"] == kind]["v"].iloc[0]) for kind in (size + 1, -2))
+        fresh = solvers.newton_step(hessian, gradient, beta, n, lam)
+        return pd.DataFrame({STATE: [pdf[STATE].iloc[0]], "label": [pdf["label"].iloc[0]], "penalty": [lam], "beta": [fresh],
+                             "moved": [float(np.abs(fresh - beta).max())]})
 
     cells = (
-        standard.select(STATE, *[f"y_{x}" for x in labels], *columns)
+        standard.select(STATE, *[f"y_{x}" for x in labels], *columns).join(betas, STATE)
         .mapInPandas(reduce_batches, f"{STATE} string, label string, i int, j int, v double")
         .groupBy(STATE, "label", "i", "j").agg(F.sum("v").alias("v"))
     )
-    rows = _by_state(cells, step, f"{STATE} string, label string, i int, v double", "label").toPandas()
-    return {k: g.sort_values("i")["v"].to_numpy() for k, g in rows.groupby([STATE, "label"])}
+    before = fits.select(STATE, "label", F.lit(-1).alias("i"), F.posexplode("beta").alias("j", "v")).unionByName(
+        fits.select(STATE, "label", F.lit(-2).alias("i"), F.lit(0).alias("j"), F.col("penalty").alias("v")))
+    return _by_state(cells.unionByName(before), step, f"{STATE} string, label string, penalty double, beta array<double>, moved double", "label")
 
 
-def _to_raw(df: DataFrame, beta: dict, stats: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Fitted values (states x labels x terms of them) back on the original scale as a long table."""
-    scale = {s: _unpack(g, len(terms))[1:] for s, g in stats.toPandas().groupby(STATE)}
-    names = ["Intercept", *terms]
-    rows = [
-        (state, label, name, float(value))
-        for (state, label), b in beta.items()
-        for name, value in zip(names, _raw_scale(b, *scale[state]))
-    ]
-    return df.sparkSession.createDataFrame(rows, _COEF_SCHEMA)
+def _to_raw(fits: DataFrame, stats: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Fits on standardised terms as a long table on the original scale."""
+    def part(kind: int) -> Column:
+        cells = F.sort_array(F.collect_list(F.when(F.col("i") == kind, F.struct("j", "v"))))
+        return F.transform(cells, lambda c: c["v"])
+
+    scale = stats.groupBy(STATE).agg(part(-1).alias("mean"), part(-2).alias("sd"))
+    slope = F.zip_with(F.slice("beta", 2, len(terms)), "sd", lambda b, s: F.when(s > 1e-12, b / s).otherwise(0.0))
+    held = fits.join(scale, STATE).withColumn("slope", slope)
+    shift = F.aggregate(F.zip_with("slope", "mean", lambda b, m: b * m), F.lit(0.0), lambda a, b: a + b)
+    values = F.concat(F.array(F.col("beta")[0] - shift), F.col("slope"))
+    names = F.array(*[F.lit(t) for t in ("Intercept", *terms)])
+    return held.select(STATE, F.col("label").alias("model"), "status", "passes", "penalty",
+                       F.inline(F.arrays_zip(names.alias("term"), values.alias("value"))))
 
 
 # ---- valuation training set -----------------------------------------------------------------
@@ -327,7 +348,7 @@ def valuation_training(df: DataFrame) -> DataFrame:
     valued = df.filter(F.col("BPO").isNotNull() & F.col(STATE).isNotNull())
     columns = [*_MEDIAN_ROW, *CONDITIONS]
     rows = settle(valued.select(STATE, *LISTING_KEY, "BPO", *[F.col(c).cast("double").alias(c) for c in columns]))
-    usual = small_domain_medians(rows, [STATE], {c: F.col(c) for c in _MEDIAN_ROW})
+    usual = medians(rows, [STATE], {c: F.col(c) for c in _MEDIAN_ROW})
     value = quantiles(rows, [STATE], "BPO", [0.5], "q").select(STATE, F.col("q")[0].alias("BPO"))
     unknown = [F.lit(1.0 if c == "Condition_unknown" else 0.0).alias(c) for c in CONDITIONS]
     extra = usual.join(value, STATE).select(
@@ -335,7 +356,7 @@ def valuation_training(df: DataFrame) -> DataFrame:
     together = rows.unionByName(settle(extra))
     c = F.col
     middles, feet = settle_all(
-        small_domain_medians(together, [STATE], {
+        medians(together, [STATE], {
             "m_Bedrooms": F.when(c("Bedrooms") > 0, c("Bedrooms")), "m_Baths": F.when(c("Baths") > 0, c("Baths")),
             "m_Age": F.when(c("Age") < 200, c("Age")),
         }),

@@ -66,16 +66,13 @@ TRUSTEE_OUTPUT = (
 
 
 def append_history(new: DataFrame, path: str, run_id: int) -> None:
-    """Add one run as its own partition. Repeating a run replaces its partition, never another's."""
-    (
-        new.withColumn("RunId", F.lit(run_id).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("RunId").parquet(path)
-    )
+    """Add one run as its own partition. Repeating a run replaces its partition, never another's, also with no rows."""
+    new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/RunId={int(run_id)}")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """All runs with ``MostRecentData`` derived: 1 on the latest run, 0 on the others."""
-    history = spark.read.parquet(path)
+    history = spark.read.parquet(path).withColumn("RunId", F.col("RunId").cast("long"))
     latest = history.agg(F.max("RunId")).first()[0]
     return history.withColumn("MostRecentData", F.when(F.col("RunId") == latest, 1).otherwise(0))
 
@@ -85,8 +82,29 @@ def current_rows(history: DataFrame) -> DataFrame:
 
 
 def replace_current(new: DataFrame, path: str) -> None:
-    """The snapshot holds the latest run only."""
-    new.withColumn("MostRecentData", F.lit(1)).write.mode("overwrite").parquet(path)
+    """The snapshot holds the latest run only.
+
+    Every snapshot is a version of its own under ``path``; readers take the last that was written in full, so
+    they never meet a gap, and a failed write leaves the one before in place.
+    """
+    spark = new.sparkSession
+    version = max([0, *_versions(spark, path)]) + 1
+    new.withColumn("MostRecentData", F.lit(1)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a snapshot that were written in full."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("version=")]
+    return [int(v.getName()[8:]) for v in found if files.exists(jvm.org.apache.hadoop.fs.Path(v, "_SUCCESS"))]
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path.rstrip('/')}/version={max(_versions(spark, path))}")
 
 
 def unified(nontrustee: DataFrame, trustee: DataFrame) -> DataFrame:

@@ -107,8 +107,13 @@ def acceptance(df: DataFrame, models: DataFrame, price: str, fallback_state: str
 
 
 def coefficients_wide(long: DataFrame, terms: Iterable[str]) -> DataFrame:
-    """(state, term, value) rows to one row per state with a column per term."""
-    return long.groupBy("PropertyState").pivot("term", ["Intercept", *terms]).agg(F.first("value"))
+    """(state, term, value) rows to one row per state with a column per term; a repeated term of a state is an error."""
+    return long.groupBy("PropertyState").pivot("term", ["Intercept", *terms]).agg(single("value"))
+
+
+def single(name: str) -> Column:
+    """The only value of a group."""
+    return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"more than one {name} for a state and term"))).otherwise(F.max(name))
 
 
 def coefficients_long(wide: DataFrame, model: str, terms: Iterable[str]) -> DataFrame:

@@ -17,6 +17,7 @@ class Params:
     bid_months: int = 3
     programme_start: date = date(2013, 7, 1)
     registration_start: date = date(2013, 7, 1)
+    training_registration_start: date = date(2013, 6, 1)  # training rows count registrations from earlier on
     horizon_days: int = 120
     holdout_days: int = 30
 

@@ -78,7 +78,7 @@ def registrant_scores(wh: Warehouse, p: Params, scoring: bool, core: DataFrame,
     hist = bidders.bidder_history(wh["fact_bid_live"], wh["fact_residential"], wh["dim_property"],
                                   wh["dim_bidder"], p, by_date=not scoring)
     registrations = wh["fact_property_registration"]
-    attendance = bidders.bidder_attendance(registrations, wh["fact_bid_live"], wh["dim_bidder"], p)
+    attendance = bidders.bidder_attendance(registrations, wh["fact_bid_live"], wh["dim_bidder"], p, training=not scoring)
     wanted = history.only_for(registrations, core, LISTING_KEY)
     matches = bidders.registrant_matches(
         wanted, wh["dim_bidder"], wh["dim_property"], recent, bidders.bidder_budget(hist), attendance,

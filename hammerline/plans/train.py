@@ -89,19 +89,20 @@ def prepare(rows: DataFrame, line: Line, p: Params, estimates: DataFrame | None
     return settle(impute.fitted_states(df, floor))
 
 
-def predict(df: DataFrame, coefficients: DataFrame, model: str, terms: Sequence[str], out: str, link=lambda z: z) -> DataFrame:
-    """Apply one model of a long coefficient table; listings of unfitted states drop out."""
+def predict(df: DataFrame, coefficients: DataFrame, model: str, terms: Sequence[str], out: str, link=lambda z: z,
+            how: str = "inner") -> DataFrame:
+    """Apply one model of a long coefficient table; listings of unfitted states drop out, or get NULL with ``how="left"``."""
     wide = scoring.coefficients_wide(coefficients.filter(F.col("model") == model), terms)
     one = settle(wide.select("PropertyState", F.struct("Intercept", *[F.col(f"`{t}`") for t in terms]).alias("_c")))
     z = F.expr(linear({t: term_sql(t) for t in terms}, "_c"))
-    return df.join(one, "PropertyState").withColumn(out, link(z)).drop("_c")
+    return df.join(one, "PropertyState", how).withColumn(out, link(z)).drop("_c")
 
 
 def value_missing(df: DataFrame, line: Line, p: Params) -> tuple[DataFrame, DataFrame]:
     """Repair home facts, estimate missing valuations, and return the valuation coefficients with them."""
     value_model = settle(models.ols_per_state(models.valuation_training(df), models.VALUATION_FIT, "BPO"))
     repaired = impute.state_repair(df, national_postal=line.trustee)
-    guessed = predict(repaired, value_model, "valuation", models.VALUATION_FIT, "_guess")
+    guessed = predict(repaired, value_model, "valuation", models.VALUATION_FIT, "_guess", how="left")
     blended = impute.blend_valuation(settle(guessed), p, "_guess", line.opening, line.reserve_parts).drop("_guess")
     return blended.withColumn("MedianPPSQFTDeviation", fx.ppsf_deviation(
         F.col("MedianPPSQFT"), F.col("Reserve"), F.col("HomeSquareFootage"))), value_model
@@ -110,14 +111,20 @@ def value_missing(df: DataFrame, line: Line, p: Params) -> tuple[DataFrame, Data
 def balanced(train: DataFrame, line: Line) -> DataFrame:
     """Give every state both classes of each label that may lack one."""
     if not line.trustee:
-        return models.two_class(train, "AuctionReserveSuccess", models.shortfall())
+        # the listing that came closest to its reserve from below succeeds, or the one that exceeded it least fails
+        return models.two_class(train, "AuctionReserveSuccess", models.shortfall(), -models.shortfall())
     for label, by in (("IsPostponed", "Postponements"), ("IsCancelled", "Cancellations")):
         train = models.two_class(train, label, -F.col(by), F.col(by))
     return train
 
 
 def fit_and_score(rows: DataFrame, line: Line, p: Params, estimates: DataFrame | None = None,
-                  second: DataFrame | None = None) -> Fitted:
+                  second: DataFrame | None = None, accepted: DataFrame | None = None) -> Fitted:
+    """Fit, score and explain one product line.
+
+    ``second`` is a separately delivered population that the same models score. ``accepted`` holds the sellers' acceptance models
+    (see ``scoring.acceptance``); with it, outputs of lines with a price model have ``AcceptancePrediction``.
+    """
     df = prepare(rows, line, p, estimates)
     if line.reserve_parts:
         df, fits = value_missing(df, line, p)
@@ -154,11 +161,12 @@ def fit_and_score(rows: DataFrame, line: Line, p: Params, estimates: DataFrame |
         if price is not None:
             out = predict(out, price, "high_bid", line.price_terms, "HighBidPrediction")
         out = explain.centred_faults(out, chosen, line.terms, centres, masked, names)
-        return _rules(out, line, p)
+        out = _rules(out, line, p)
+        return out if accepted is None or price is None else scoring.acceptance(out, accepted, "HighBidPrediction")
 
     full = settle(score(test, explain.MASKED, line.names))
     short = full.select(*line.short, *line.labels.values(),
-                        *[c for c in ("HighBidPrediction", "ReserveRedux") if c in full.columns], "SaleLikelihood")
+                        *[c for c in ("HighBidPrediction", "ReserveRedux", "AcceptancePrediction") if c in full.columns], "SaleLikelihood")
     other = None
     if second is not None:
         filled = impute.second_population_fill(second)

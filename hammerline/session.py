@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ DEFAULTS = {
 
 
 _local_dirs: dict[str, str] = {}
+_runs: dict[str, list[str]] = {}  # open workspaces of each application, the innermost last
 
 
 def session(master: str | None = None, **conf: str) -> SparkSession:
@@ -47,7 +49,8 @@ def settle(df: DataFrame) -> DataFrame:
     shuffles it (with skew splitting) when it is not. No join in this package carries a broadcast hint.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    folder = (_runs.get(spark.sparkContext.applicationId) or [shared_dir(spark)])[-1]
+    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,3 +59,20 @@ def settle_all(*frames: DataFrame) -> list[DataFrame]:
     """Settle independent intermediates side by side, so that small jobs do not wait for each other."""
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         return list(pool.map(settle, frames))
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """Intermediates settled inside are deleted at the end; write what is to stay before that.
+
+    For jobs that end with their results written, so that daily runs leave nothing in the shared folder.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    open_runs = _runs.setdefault(spark.sparkContext.applicationId, [])
+    open_runs.append(folder)
+    try:
+        yield folder
+    finally:
+        open_runs.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -61,9 +61,9 @@ def test_quantiles_equal_linear_interpolation(skewed):
         assert np.allclose(got[state], np.quantile(part["reserve"].dropna(), probs))
 
 
-def test_small_domain_medians(skewed):
+def test_medians(skewed):
     pdf, df = skewed
-    got = {r.state: r.m for r in ranking.small_domain_medians(df, ["state"], {"m": F.col("reserve")}).collect()}
+    got = {r.state: r.m for r in ranking.medians(df, ["state"], {"m": F.col("reserve")}).collect()}
     for state, part in pdf.dropna(subset=["reserve"]).groupby("state"):
         assert got[state] == pytest.approx(part["reserve"].median())
 

@@ -187,7 +187,7 @@ def test_ols_and_logistic_against_numpy(spark):
     pdf = df.toPandas()
     fit = {(r.PropertyState, r.term): r.value for r in models.ols_per_state(df, ["a", "b"], "y").collect()}
     logit = {(r.PropertyState, r.term): r.value for r in models.ridge_logistic(df, ["a", "b"], ["hit"]).collect()}
-    lam = {r.PropertyState: max(r["lambda"], 1e-4) for r in models.lambda_by_cv(df, ["a", "b"], ["hit"]).collect()}
+    lam = {r.PropertyState: max(r["lambda"], r["path_end"], 1e-4) for r in models.lambda_by_cv(df, ["a", "b"], ["hit"]).collect()}
     for state, part in pdf.groupby("PropertyState"):
         x = np.column_stack([np.ones(len(part)), part.a, part.b])
         expected = np.linalg.lstsq(x, part.y, rcond=None)[0]
@@ -239,3 +239,88 @@ def test_histogram_puts_one_in_the_last_bin(spark, p):
     df = spark.createDataFrame([(1.0, date(2014, 3, 1)), (0.0, date(2014, 1, 1)), (0.5, date(2014, 2, 1))], "p double, AuctionDate date")
     out = {(r.Population, r.Bin): r.Rows for r in report.prediction_histogram(df, p, "p", 10).collect()}
     assert out == {("all", 10): 1, ("all", 1): 1, ("all", 6): 1, ("upcoming", 10): 1, ("trailing", 1): 1}
+
+
+# ---- fits that lose, mislabel or cap nothing -------------------------------------------------
+
+def test_balanced_flips_the_listing_nearest_to_its_reserve(spark):
+    """All met their reserve: the one that exceeded it least fails. None did: the one that fell short least succeeds."""
+    from hammerline.plans import train
+    rows = [("A", k, 1, 1, 100.0, bid, 1) for k, bid in enumerate([500.0, 101.0, 200.0])]
+    rows += [("B", k, 1, 1, 100.0, bid, 0) for k, bid in enumerate([10.0, 99.0, 50.0])]
+    df = spark.createDataFrame(rows, "PropertyState string, PropertyId long, AuctionId long, VenueId long, Reserve double, HighBid double, AuctionReserveSuccess int")
+    out = {(r.PropertyState, r.HighBid): r.AuctionReserveSuccess for r in train.balanced(df, train.REO).collect()}
+    assert out == {("A", 500.0): 1, ("A", 101.0): 0, ("A", 200.0): 1, ("B", 10.0): 0, ("B", 99.0): 1, ("B", 50.0): 0}
+
+
+def test_blend_without_valuations_in_a_bucket_takes_three_reserves(spark, p):
+    from datetime import timedelta
+    from hammerline.operators import impute
+    day = p.as_of - timedelta(days=1)
+    rows = [(k, 100.0 * (k + 1), 90.0 * (k + 1) if k < 3 else None, 80.0, day, "X", 50.0) for k in range(10)]
+    rows += [(k, 100.0, None, 80.0, day, "NO VALUES AT ALL", 50.0) for k in (20, 21)]
+    df = spark.createDataFrame(rows, "PropertyId long, Reserve double, BPO double, Guess double, AuctionDate date, PropertyState string, StartingBid double")
+    out = {r.PropertyId: r.BPO for r in impute.blend_valuation(df, p, "Guess").collect()}
+    assert None not in out.values()
+    assert out[7] == 3 * 800.0 and out[20] == 300.0 and out[1] == 180.0
+
+
+def test_listing_of_a_state_without_a_model_keeps_its_row(spark):
+    from hammerline.plans import train
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "PropertyState string, x double")
+    coefficients = spark.createDataFrame([("A", "m", "Intercept", 1.0), ("A", "m", "x", 2.0)], "PropertyState string, model string, term string, value double")
+    got = {r.PropertyState: r.out for r in train.predict(df, coefficients, "m", ["x"], "out", how="left").collect()}
+    assert got == {"A": 3.0, "B": None}
+    assert [r.out for r in train.predict(df, coefficients, "m", ["x"], "out").collect()] == [3.0]
+
+
+def test_repeated_coefficient_is_an_error(spark):
+    from hammerline.operators import scoring
+    twice = spark.createDataFrame([("A", "x", 2.0), ("A", "x", 3.0)], "PropertyState string, term string, value double")
+    with pytest.raises(Exception, match="more than one value"):
+        scoring.coefficients_wide(twice, ["x"]).collect()
+
+
+def _states(spark, **states):
+    rows = [(s, k, 1, 1, float(x), int(y)) for s, points in states.items() for k, (x, y) in enumerate(points)]
+    return spark.createDataFrame(rows, "PropertyState string, PropertyId long, AuctionId long, VenueId long, x double, y int")
+
+
+def test_every_logistic_fit_says_how_it_ended(spark):
+    """One ordinary, one separable and one one-class state: the ordinary one takes as many passes as alone, and all have a status."""
+    import numpy as np
+    from hammerline.operators import models
+    r = np.random.default_rng(2)
+    x = r.normal(size=200)
+    ordinary = list(zip(x, r.random(200) < 1 / (1 + np.exp(-x))))
+    separable, single = [(v, v > 0) for v in x], [(v, 1) for v in x[:40]]
+    got = models.ridge_logistic_fits(_states(spark, O=ordinary, S=separable, C=single), ["x"], ["y"]).toPandas().set_index(["PropertyState", "term"])
+    alone = models.ridge_logistic_fits(_states(spark, O=ordinary), ["x"], ["y"]).toPandas().set_index("term")
+    assert got.loc[("O", "x"), "status"] == got.loc[("S", "x"), "status"] == models.CONVERGED and got.loc[("C", "x"), "status"] == models.ONE_CLASS
+    assert got.loc[("O", "x"), "passes"] == alone.loc["x", "passes"] and got.loc[("O", "x"), "value"] == pytest.approx(alone.loc["x", "value"])
+    assert got.loc[("C", "x"), "value"] == 0 and got.loc[("C", "Intercept"), "value"] == pytest.approx(np.log(40.5 / 0.5))
+    stopped = models.ridge_logistic_fits(_states(spark, O=ordinary), ["x"], ["y"], most=1)
+    assert {r.status for r in stopped.collect()} == {models.STOPPED}
+    assert models.ridge_logistic(_states(spark, O=[]), ["x"], ["y"]).count() == 0
+
+
+def test_snapshot_and_empty_rerun(spark, tmp_path):
+    from hammerline.operators import publish
+    one, two = spark.createDataFrame([(1,)], "v int"), spark.createDataFrame([(2,), (3,)], "v int")
+    publish.replace_current(one, f"{tmp_path}/now")
+    held = publish.read_current(spark, f"{tmp_path}/now")
+    publish.replace_current(two, f"{tmp_path}/now")
+    assert [r.v for r in held.collect()] == [1] and sorted(r.v for r in publish.read_current(spark, f"{tmp_path}/now").collect()) == [2, 3]
+    publish.append_history(two, f"{tmp_path}/all", 1)
+    publish.append_history(one, f"{tmp_path}/all", 2)
+    publish.append_history(two.limit(0), f"{tmp_path}/all", 2)
+    assert sorted(r.v for r in publish.read_history(spark, f"{tmp_path}/all").collect()) == [2, 3]
+
+
+def test_workspace_leaves_nothing(spark, tmp_path):
+    import os
+    from hammerline.session import settle, workspace
+    with workspace(spark) as folder:
+        settle(spark.range(5)).write.parquet(f"{tmp_path}/kept")
+        assert len(os.listdir(folder.removeprefix("file:"))) == 1
+    assert not os.path.exists(folder.removeprefix("file:")) and spark.read.parquet(f"{tmp_path}/kept").count() == 5

@@ -62,7 +62,7 @@ def test_stacked_problems_equal_single_ones():
 def test_cross_validated_penalty_equals_brute_force():
     x, y = problem(n=200)
     fold = np.arange(len(x)) % 5
-    lam, loss = solvers.cross_validated_penalty(np.array([moment(x[fold == f], y[fold == f]) for f in range(5)]))
+    lam, loss, _ = solvers.cross_validated_penalty(np.array([moment(x[fold == f], y[fold == f]) for f in range(5)]))
     total = moment(x, y)
     _, _, cov = solvers.centred(total)
     gram, cross, _ = solvers._standard(cov)
@@ -93,3 +93,16 @@ def test_newton_reaches_the_penalised_optimum():
     p = 1 / (1 + np.exp(-z @ beta))
     gradient = z.T @ (label - p) / len(z) - lam * np.r_[0, beta[1:]]
     assert np.abs(gradient).max() < 1e-8
+
+
+def test_penalty_stops_at_the_end_of_the_near_ridge_path():
+    """With little noise the lasso wants less penalty than the near-ridge path ever has; its end holds."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(500, 6))
+    y = (x @ r.normal(size=6) > 0).astype(float)
+    folds = np.array([moment(x[k::10], y[k::10]) for k in range(10)])
+    lam, _, end = solvers.cross_validated_penalty(folds)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    cross = np.abs(z.T @ (y - y.mean()) / len(y)).max()
+    assert end == pytest.approx(cross / 1e-3 * 1e-4)
+    assert lam < end
