@@ -154,6 +154,7 @@ def keep_one(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text", shingl
     """``df`` with one row of each near-duplicate component: that of the least doc_id, null ids last, then any one.
 
     Rows are numbered in a settled copy, so that repeated rows, which nothing else tells apart, leave one behind.
+    Rows meet those numbers in a merge join at every size: numbers are even, and disk use is the same share of small and large tables.
     """
     row, text = fresh(df, "row"), fresh(df, "bytes")
     numbered = df.withColumn(row, F.monotonically_increasing_id()).withColumn(text, F.col(text_col).cast("binary"))
@@ -162,4 +163,4 @@ def keep_one(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text", shingl
     first = fps.join(classes(fps, radius), "fp").groupBy("root").agg(
         F.min(F.struct(F.col(DOC_ID).isNull(), DOC_ID, "row")).alias("first"))
     stay = settle(first.select(F.col("first.row").alias(row)))
-    return copy.join(stay, row, "left_semi").select(*df.columns)
+    return copy.join(stay.hint("merge"), row, "left_semi").select(*df.columns)
