@@ -100,7 +100,11 @@ def logit(p):
 def learn(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The document model, from rows (doc_id, features) and labels (doc_id, quality). Labels of one document are averaged; null ones don't count."""
     known = labels.select(DOC_ID, F.col("quality").cast("double").alias("quality")).dropna().groupBy(DOC_ID).agg(F.avg("quality").alias("quality"))
-    taken = rows.join(known, DOC_ID).orderBy(F.xxhash64(DOC_ID), DOC_ID).limit(sample).select("features", "quality").collect()
+    found = settle(rows.join(known, DOC_ID).select(DOC_ID, "features", "quality", F.xxhash64(DOC_ID).alias("hash")))
+    share = (sample + 6 * math.sqrt(sample)) / max(1, found.count())
+    if share < 1:  # hashes are uniform: somewhat over ``sample`` of them are this small, so few rows reach the driver
+        found = found.filter(F.col("hash") < int(share * 2**64) - 2**63)
+    taken = found.orderBy("hash", DOC_ID).limit(sample).select("features", "quality").collect()
     x = np.array([r["features"] for r in taken], dtype=float).reshape(-1, len(FEATURES))
     return fit(x, (np.array([r["quality"] for r in taken], dtype=float) >= 0.5).astype(float))
 
