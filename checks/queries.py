@@ -14,9 +14,10 @@ from checks import terms as tt
 from checks.oracle import oracle_query
 from checks.roles import TestTables
 from hammerline.functions import scoring as sf
+from hammerline.functions.scoring import TIMES, term_value
 from hammerline.operators import bidders, explain, features as fx, history, impute, models, publish, report, scoring
 from hammerline.params import LISTING_KEY, Params
-from hammerline.plans import nontrustee, trustee
+from hammerline.plans import nontrustee, train, trustee
 from hammerline.session import settle, shared_dir
 
 P = Params(as_of=date(2001, 5, 15), programme_start=date(2000, 1, 1), registration_start=date(2000, 1, 1),
@@ -462,9 +463,81 @@ add("two_class_labels", f"{K} Label:i", "flipped")(lambda wh: models.two_class(
     training(wh).withColumn("Label", F.when(F.col("PropertyState") == "ASIA", F.col("IsSold")).otherwise(
         F.when(F.col("PropertyState") == "AFRICA", 1).otherwise(0))), "Label", models.shortfall(), -models.shortfall()))
 
-# ---- fit, score and explain end to end -------------------------------------------------------
+# ---- fits are optimal -------------------------------------------------------------------------
+# A fit is right if its gradient vanishes. Spark computes that gradient from the rows and the published coefficients
+# alone; SQL counts the rows that must have gone in, and states the zero.
+
+
+def _filled(columns, table="f"):
+    """SQL: every column is there, repaired ones after their repair."""
+    repaired = {x.partition(":")[0] for x in _REPAIR.split()}
+    return " AND ".join(f"{'r' if c in repaired else table}.{c} IS NOT NULL" for c in dict.fromkeys(columns))
+
+
+_DERIVED = ("HasLikelyBidders", "HasWellMatchedBidders", "IsSubjectToApproval")  # never missing where they are fitted
+
+
+def _plain(terms):
+    return [c for t in terms for c in t.split(TIMES) if c not in _DERIVED]
+
+
+def _gradients(rows, fits, terms, label, logistic):
+    """(PropertyState, Rows, Ones, Status, Gradient) of one label's fits: the largest part of the standardised gradient."""
+    x = {t: term_value(t).cast("double") for t in terms}
+    held = settle(rows.select("PropertyState", F.col(label).cast("double").alias("_y"), *[c.alias(f"_{i}") for i, c in enumerate(x.values())]))
+    held = held.filter(~F.exists(F.array(*held.columns[1:]), F.isnull)).filter("PropertyState IS NOT NULL")
+    wide = fits.groupBy("PropertyState").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("_b"),
+                                             F.max("penalty").alias("_l"), F.max("status").alias("Status"))
+    b = [F.col("_b")[t] for t in ("Intercept", *terms)]
+    z = b[0]
+    for i in range(len(terms)):
+        z = z + b[i + 1] * F.col(f"_{i}")
+    held = held.join(settle(wide), "PropertyState").withColumn("_r", F.col("_y") - (sf.logistic(z) if logistic else z))
+    parts = []
+    for i, t in enumerate(terms):
+        c, sd = F.col(f"_{i}"), F.stddev_pop(f"_{i}")
+        slope = F.max(b[i + 1])
+        parts.append(F.when(sd > 1e-9, F.abs(F.covar_pop("_r", c) / sd - F.max("_l") * slope * sd)).otherwise(0.0))
+    size = F.lit(1.0) if logistic else F.greatest(F.stddev_pop("_y"), F.lit(1e-9))
+    worst = F.greatest(F.abs(F.avg("_r")), *parts) / size
+    out = held.groupBy("PropertyState").agg(F.count("*").alias("Rows"), F.sum("_y").alias("Ones"), F.max("Status").alias("Status"), worst.alias("g"))
+    return out.withColumn("Gradient", F.when(F.col("Status") == models.ONE_CLASS, 0.0).otherwise(F.col("g"))).withColumn("Label", F.lit(label))
+
+
+def _valuation_is_optimal(wh):
+    rows = models.valuation_training(training(wh))
+    fits = models.ols_per_state(rows, models.VALUATION_FIT, "BPO").withColumns({"penalty": F.lit(0.0), "status": F.lit(models.CONVERGED)})
+    return _gradients(rows, fits, models.VALUATION_FIT, "BPO", False)
+
+
+add("valuation_is_optimal", "PropertyState Rows:i Gradient:4", f"""
+  SELECT PropertyState, count(*) + 1 AS Rows, 0.0e0 AS Gradient FROM feature f WHERE BPO IS NOT NULL AND PropertyState IS NOT NULL
+  AND {' AND '.join(f'{c} IS NOT NULL' for c in dict.fromkeys(_plain(models.VALUATION_FIT)) if c != 'LotSize')} GROUP BY 1""")(_valuation_is_optimal)
+add("ols_two_terms", "PropertyState term value:3", """
+  SELECT PropertyState, UNNEST(['Intercept', 'Reserve', 'RunNum']) AS term, UNNEST([my - p * mx - q * mz, p, q]) AS value FROM (
+    SELECT *, (u * d - v * b) / (a * d - b * b) AS p, (a * v - b * u) / (a * d - b * b) AS q FROM (
+      SELECT PropertyState, var_pop(Reserve) AS a, covar_pop(Reserve, RunNum) AS b, var_pop(RunNum) AS d, covar_pop(Reserve, BPO) AS u,
+             covar_pop(RunNum, BPO) AS v, avg(Reserve) AS mx, avg(RunNum) AS mz, avg(BPO) AS my
+      FROM feature WHERE BPO IS NOT NULL AND Reserve IS NOT NULL AND RunNum IS NOT NULL AND PropertyState IS NOT NULL GROUP BY 1) m) s""")(
+    lambda wh: models.ols_per_state(training(wh), ["Reserve", "RunNum"], "BPO"))
+add("cleaned_rows", f"{K} Reserve:6 BPO:6 SellerName PropertyCity", """
+  SELECT PropertyId, AuctionId, VenueId, Reserve, CASE WHEN BPOSurplusPct >= 5 OR BPOSurplusPct < -0.9 THEN NULL ELSE BPO END AS BPO,
+         replace(SellerName, ',', '') AS SellerName, replace(PropertyCity, ',', '') AS PropertyCity
+  FROM feature WHERE AuctionDate >= DATE '2001-05-15' - INTERVAL 120 DAY AND Reserve IS NOT NULL""")(
+    lambda wh: impute.clean(training(wh), P, ["Reserve", "BPO", "BPOSurplusPct"]))
+add("quality_flags", f"{K} HasLikelyBidders:i HasWellMatchedBidders:i", """
+  SELECT PropertyId, AuctionId, VenueId, CASE WHEN IntrinsicBidderQuality >= 0.5 THEN 1 ELSE 0 END AS HasLikelyBidders,
+         CASE WHEN TotalRegistrantScore >= 0.5 THEN 1 ELSE 0 END AS HasWellMatchedBidders FROM feature""")(
+    lambda wh: impute.quality_flags(training(wh)))
+add("balanced_labels", f"{K} AuctionReserveSuccess:i", f"""
+  SELECT PropertyId, AuctionId, VenueId, CASE WHEN hi = 0 AND up = 1 AND gap IS NOT NULL THEN 1 WHEN lo = 1 AND down = 1 AND gap IS NOT NULL THEN 0 ELSE y END AS AuctionReserveSuccess
+  FROM (SELECT *, min(y) OVER (PARTITION BY PropertyState) AS lo, max(y) OVER (PARTITION BY PropertyState) AS hi,
+               row_number() OVER (PARTITION BY PropertyState ORDER BY gap NULLS LAST, PropertyId, AuctionId, VenueId) AS up,
+               row_number() OVER (PARTITION BY PropertyState ORDER BY -gap NULLS LAST, PropertyId, AuctionId, VenueId) AS down FROM labelled) q""")(
+    lambda wh: train.balanced(training(wh).withColumn("AuctionReserveSuccess", F.when(F.col("PropertyState") == "ASIA", F.col("IsSold")).otherwise(
+        F.when(F.col("PropertyState") == "AFRICA", 1).otherwise(0))), train.REO))
 
-from hammerline.plans import train  # noqa: E402
+# ---- fit, score and explain end to end -------------------------------------------------------
 
 _FITTED = f"{K} PropertyState SaleLikelihood Neg1 Neg2 BPO:3 "
 
