@@ -1,11 +1,11 @@
-"""Queries of the ten operators over whole tables, with production parameters, and their SQL where SQL can say the same."""
+"""Queries of the operators over whole tables, with production parameters, and their SQL where SQL can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hammerline.llm import fingerprints, licences, packing, pieces, pii, quality, repetition, sharding, simhash_dedup, token_files
+from hammerline.llm import fingerprints, licences, line_dedup, packing, pieces, pii, quality, repetition, sharding, simhash_dedup, token_files
 from hammerline.llm.common import documents
 
 
@@ -51,9 +51,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_document_fingerprints, op3_personal_data, op4_quality_classifier, op5_sentencepiece_round_trip,
-    op6_quality_rules, op7_licence_scan, op8_token_files, op9_best_fit_packing, op10_sharding)}
+    op6_quality_rules, op7_licence_scan, op8_token_files, op9_best_fit_packing, op10_sharding, op12_line_dedup)}
 
 # XXH64, SHA-256 of code-point edits, suffix arrays, tokenizers and trained models have no SQL; their tests use brute force.
-ORACLE_SQL: dict[str, str] = {}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+KEY = LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
+
+ORACLE_SQL: dict[str, str] = {
+    "op12_line_dedup": f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS n FROM split),
+keyed AS (SELECT *, {KEY} AS key FROM lines),
+held AS (SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.holder AS dropped FROM keyed k LEFT JOIN held h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""",
+}
