@@ -64,17 +64,19 @@ def map_texts(df: DataFrame, fields: str, make: Callable[[], Callable[[list], Se
 def rank_within(df: DataFrame, group: str, order: Sequence[str], name: str = "rank") -> DataFrame:
     """``df`` with gapless ranks from 0 within each ``group``, however large a group is.
 
-    A group of n rows is dealt by hash into about sqrt(n) slices of about sqrt(n) rows; a rank is the rows of
-    the slices before plus the place in its own slice. ``df`` must be settled: it is read three times.
+    Rows are numbered in a settled copy. A group of n rows is dealt by the hash of that number into about sqrt(n) slices of about
+    sqrt(n) rows, so that rows which are equal in all columns spread as others do; a rank is the rows of the slices before plus the
+    place in its own slice.
     """
+    df = settle(df.withColumn("__number", F.monotonically_increasing_id()))
     parts = settle(df.groupBy(group).agg(F.ceil(F.sqrt(F.count("*").cast("double"))).alias("__slices")))
-    dealt = df.join(parts, group).withColumn("__slice", F.pmod(F.xxhash64(*order), F.col("__slices"))).drop("__slices")
+    dealt = df.join(parts, group).withColumn("__slice", F.pmod(F.xxhash64("__number"), F.col("__slices"))).drop("__slices")
     sizes = dealt.groupBy(group, "__slice").count()
     before = F.sum("count").over(Window.partitionBy(group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select(group, "__slice", F.coalesce(before, F.lit(0)).alias("__before"))
-    place = F.row_number().over(Window.partitionBy(group, "__slice").orderBy(*order)) - 1
+    place = F.row_number().over(Window.partitionBy(group, "__slice").orderBy(*order, "__number")) - 1
     return (dealt.withColumn("__place", place).join(sizes, [group, "__slice"])
-            .withColumn(name, (F.col("__before") + F.col("__place")).cast("long")).drop("__slice", "__before", "__place"))
+            .withColumn(name, (F.col("__before") + F.col("__place")).cast("long")).drop("__slice", "__before", "__place", "__number"))
 
 
 def bucket_bounds(df: DataFrame, id_col: str, buckets: int) -> np.ndarray:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from hammerline.llm.common import DOC_ID, map_texts, narrow
 
 MARK = "▁"
-HELD = ""  # stands for a mark of the text itself while it is segmented; texts that hold it as well are escaped by bytes, too
+HELD = "\ud800"  # stands for a mark of the text itself while it is segmented; half a surrogate pair stands in no text
 WORDS = 400_000
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 

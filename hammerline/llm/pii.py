@@ -1,10 +1,12 @@
 """Personal data: base patterns, and bootstrapped contextual extraction for what they miss.
 
-Base spans (email, ip, card, phone) are the seeds. One pass over the texts gives them, the other tokens that could be identifiers
-of a kind, and the lexical patterns of both: the word before, the word after, both, and a label written before the value. Patterns
-and instances make a graph with a row per distinct edge, on which Spark scores both sides in rounds: a pattern by the share
-of its instances that are trusted, an instance by the best of its patterns. Patterns that end above ``CONFIDENT``, each met by
-``SUPPORT`` distinct seeds or more, give their kind to the candidates they hold. A candidate never displaces a base span.
+Base spans (email, ip, card, phone) are the seeds. One pass over the texts gives them, the other tokens (or adjacent groups of digits)
+that could be identifiers of a kind, and the lexical patterns of both: the word before, the word after, both, and a label written before the value.
+Patterns and instances make a graph with a row per distinct edge, on which Spark scores both sides in turn: a pattern by the share of its
+distinct instances that are trusted, an instance by the best of its patterns. A pattern is confident once ``SUPPORT`` trusted
+instances stand in it and its share reaches ``CONFIDENT``; its other instances are trusted from then on, and so support further patterns.
+Trust only grows, and the rounds end when a round trusts nothing new. A trusted instance has its kind wherever it stands. A candidate
+never displaces a base span.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from hammerline.llm.common import DOC_ID, fresh, map_texts, narrow, slices
 from hammerline.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, CONFIDENT, ROUNDS = 5, 0.8, 3
+SUPPORT, CONFIDENT = 5, 0.8
 
 # The base patterns. Possessive runs and a start at the beginning of a run find the same matches in linear time.
 LOCAL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -33,7 +35,9 @@ DIGIT = re.compile(r"[0-9]")
 SEPARATORS = str.maketrans("", "", " -().+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?()[]{}<>\"'"
-LABEL = re.compile(r"([A-Za-z_-]{2,30})[=:](?=.)")
+LABEL = re.compile(r"([A-Za-z_-]++)[=:](?=.)")
+GROUP = re.compile(r"[0-9().+-]*[0-9][0-9().+-]*")
+FEWEST, MOST = 7, 19  # digits of a phone, of a card
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -96,6 +100,26 @@ def could_be(token: str) -> list[int]:
     return kinds
 
 
+def digits_on(text: str, tokens: list[tuple[int, int]], k: int, start: int, before: int) -> int:
+    """End of the number that begins at ``start`` in token ``k``: of the token itself if it has digits enough, else of
+    the groups that follow it, one space apart, as long as all have at most MOST digits and end ``before`` the next base span."""
+    end = tokens[k][1]
+    count = lambda a, b: sum("0" <= c <= "9" for c in text[a:b])
+    held = count(start, end)
+    if not held or held >= FEWEST or not GROUP.fullmatch(text, start, end):
+        return end
+    while k + 1 < len(tokens):
+        a, b = tokens[k + 1]
+        trimmed = b - (len(text[a:b]) - len(text[a:b].rstrip(EDGES.replace(")", ""))))
+        more = count(a, trimmed)
+        if a != end + 1 or text[end] != " " or b > before or not more or held + more > MOST or not GROUP.fullmatch(text, a, trimmed):
+            break
+        held, end, k = held + more, b, k + 1
+        if trimmed < b:  # a full stop or comma ends the number
+            break
+    return end
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """(start, end, surface, kind or None, possible kinds, patterns) of base spans and of candidates among the other tokens."""
     if not spans and "@" not in text and not DIGIT.search(text):
@@ -127,12 +151,18 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             piece, shift = text[start:end], 0
             if (label := LABEL.match(piece)):
                 shift = label.end()
-            value = piece[shift:]
+            last, stop = k, digits_on(text, tokens, k, start + shift, taken[at][0] if at < len(taken) else len(text))
+            while tokens[last][1] < stop:
+                last += 1
+            value = text[start + shift:stop]
             left = len(value) - len(value.lstrip(EDGES))
-            value = value.strip(EDGES)
+            if ")" in value[left:] and value[:left].endswith("("):
+                left -= 1  # the bracket belongs to the number
+            value = value[left:].rstrip(EDGES)
             if value and (kinds := could_be(value)):
                 s = start + shift + left
-                out.append((s, s + len(value), value.lower(), None, kinds, around(k, k, label[1].lower() + "=" if label else "")))
+                out.append((s, s + len(value), value.lower(), None, kinds, around(k, last, label[1].lower() + "=" if label else "")))
+                k = last
         k += 1
     return out
 
@@ -148,32 +178,38 @@ def _find(texts: list[str]) -> list[list]:
             [[dict(zip(keys, o, strict=True)) for o in contexts(t, found)] for t, found in zip(texts, spans, strict=True)]]
 
 
-def confident_patterns(occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind, confidence) of the patterns that may name new identifiers, from rows (surface, kind, kinds, patterns)."""
+def bootstrapped(occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT) -> tuple[DataFrame, DataFrame]:
+    """Confident (pattern, kind, confidence) and trusted (surface, kind, trust), from rows (surface, kind, kinds, patterns).
+
+    A round is two grouped aggregates over the distinct edges; whether it trusted something new is all that comes back.
+    """
     edges = occurrences.select("surface", "kind", F.explode("kinds").alias("as"), "patterns")
     edges = edges.select("surface", "kind", "as", F.explode("patterns").alias("pattern"))
     edges = settle(edges.groupBy("pattern", "as", "surface").agg(F.max(F.when(F.col("kind") == F.col("as"), 1).otherwise(0)).alias("seed")))
-    degree = settle(edges.groupBy("pattern", "as").agg(F.count("*").alias("n"), F.sum("seed").alias("seeds")).filter(F.col("seeds") >= support))
-    # the graph of the patterns with enough seeds; other patterns cannot name anything
-    graph = settle(edges.join(degree.select("pattern", "as"), ["pattern", "as"], "left_semi"))
-    trust = graph.select("surface", "as", "seed").distinct().select("surface", "as", F.col("seed").cast("double").alias("trust"))
-    for _ in range(rounds):
-        trust = trust.groupBy("surface", "as").agg(F.max("trust").alias("trust"))
-        scored = graph.join(trust, ["surface", "as"], "left")
-        patterns = settle(scored.groupBy("pattern", "as").agg(
-            (F.sum(F.coalesce("trust", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence")))
-        trust = settle(graph.join(patterns, ["pattern", "as"]).groupBy("surface", "as").agg(
-            F.max(F.when(F.col("seed") == 1, 1.0).otherwise(F.col("confidence"))).alias("trust")))
-    return patterns.filter(F.col("confidence") >= confident).select("pattern", F.col("as").alias("kind"), "confidence")
+    # a pattern with fewer distinct instances than its support needs can never be confident
+    wide = settle(edges.groupBy("pattern", "as").agg(F.count("*").alias("n")).filter(F.col("n") >= support))
+    graph = settle(edges.join(wide, ["pattern", "as"]))
+    seeds = graph.filter("seed = 1").select("surface", "as").distinct().withColumn("trust", F.lit(1.0))
+    trusted, before = settle(seeds), -1
+    while (now := trusted.count()) != before:
+        before = now
+        scored = graph.join(trusted, ["surface", "as"], "left").groupBy("pattern", "as").agg(
+            (F.sum(F.coalesce("trust", F.lit(0.0))) / (F.max("n") + 1)).alias("confidence"), F.count("trust").alias("held"))
+        patterns = settle(scored.filter((F.col("held") >= support) & (F.col("confidence") >= confident)).drop("held"))
+        named = graph.join(patterns, ["pattern", "as"]).select("surface", "as", F.col("confidence").alias("trust"))
+        trusted = settle(seeds.unionByName(named).groupBy("surface", "as").agg(F.max("trust").alias("trust")))
+    return patterns.withColumnRenamed("as", "kind"), trusted.withColumnRenamed("as", "kind")
 
 
 def discovered(rows: DataFrame, key: list[str]) -> DataFrame:
-    """(key, start, end, kind, confidence) of the candidates that a confident pattern names; ``rows`` has ``occurrences``."""
+    """(key, start, end, kind, confidence) of the candidates that stand in a confident pattern, or are trusted from elsewhere; ``rows`` has ``occurrences``."""
     occurrences = settle(rows.filter(F.size("occurrences") > 0).select(*key, F.inline("occurrences")))
-    patterns = settle(confident_patterns(occurrences))
-    held = occurrences.filter("kind IS NULL").select(*key, "start", "end", F.explode("kinds").alias("kind"), "patterns")
-    held = held.select(*key, "start", "end", "kind", F.explode("patterns").alias("pattern"))
-    named = held.join(patterns, ["pattern", "kind"]).groupBy(*key, "start", "end", "kind").agg(F.max("confidence").alias("confidence"))
+    patterns, trusted = bootstrapped(occurrences)
+    held = occurrences.filter("kind IS NULL").select(*key, "start", "end", "surface", F.explode("kinds").alias("kind"), "patterns")
+    placed = held.select(*key, "start", "end", "kind", F.explode("patterns").alias("pattern")).join(patterns, ["pattern", "kind"])
+    known = held.join(trusted.withColumnRenamed("trust", "confidence"), ["surface", "kind"])
+    columns = [*key, "start", "end", "kind", "confidence"]
+    named = placed.select(*columns).unionByName(known.select(*columns)).groupBy(*columns[:-1]).agg(F.max("confidence").alias("confidence"))
     # one kind a candidate: the one most trusted, of equals the first
     best = F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("best")
     return named.groupBy(*key, "start", "end").agg(best).select(
@@ -187,7 +223,7 @@ def _joined(spans: str):
 
 
 def personal_data(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found): base spans, and all spans with those discovered.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans): base spans, and all spans with those discovered.
 
     Positions are code points, ends exclusive. A null or empty text has no spans. Rows are told apart by a number in a settled
     copy, so that repeated rows and null ids get a row each; an empty table gives an empty result.

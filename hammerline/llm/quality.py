@@ -1,9 +1,11 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
 A logistic model of a document's own form, fitted on labelled documents, gives the evidence of the document. Hosts and their
-paths give the rest: grouped sums of that evidence make a posterior good share of every host, shrunk toward the global share, and of every path, shrunk
-toward its host's. How strongly sparse sites shrink is estimated from how much sites differ (method of moments). The
-document's odds are its likelihood ratio times the odds of its path.
+paths give the rest. A site's counts are the evidence of its documents, as parts of good ones, and the labels of its labelled documents. They
+make a posterior good share of every host, shrunk toward the global share, and of every path, shrunk toward its host's. How strongly sites
+shrink is the strength at which the counts of all sites of a level are most likely (beta-binomial), with a weak prior against
+endless strengths. A document's odds are its likelihood ratio times the odds of its path without the document itself, so its evidence
+counts once.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +24,7 @@ from hammerline.session import settle
 SAMPLE = 20_000  # labelled documents that the model is fitted on, at most; those with the smallest hashes
 RIDGE = 1.0
 THRESHOLD = 0.5
-LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1e6
+STRENGTHS = tuple(2.0 * 2**(k / 2) for k in range(40))  # documents' worth of prior, from 2 to some 1.5 million
 EDGE = 1e-4  # evidence of a document stays this far from certainty
 FEATURES = ("log_words", "word_bytes", "symbols", "capitals", "digits", "stops", "exclaims", "bars", "other", "distinct", "distinct_lines",
             "line_words", "top_word", "short")
@@ -97,10 +100,14 @@ def logit(p):
     return F.log(p / (1 - p))
 
 
-def learn(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The document model, from rows (doc_id, features) and labels (doc_id, quality). Labels of one document are averaged; null ones don't count."""
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``rows`` (doc_id, host, path, features) that have a label, with ``quality``. Labels of one document are averaged; null ones don't count."""
     known = labels.select(DOC_ID, F.col("quality").cast("double").alias("quality")).dropna().groupBy(DOC_ID).agg(F.avg("quality").alias("quality"))
-    found = settle(rows.join(known, DOC_ID).select(DOC_ID, "features", "quality", F.xxhash64(DOC_ID).alias("hash")))
+    return settle(rows.join(known, DOC_ID).select(DOC_ID, "host", "path", "features", "quality", F.xxhash64(DOC_ID).alias("hash")))
+
+
+def learn(found: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The document model, from what ``labelled`` gives."""
     share = (sample + 6 * math.sqrt(sample)) / max(1, found.count())
     if share < 1:  # hashes are uniform: somewhat over ``sample`` of them are this small, so few rows reach the driver
         found = found.filter(F.col("hash") < int(share * 2**64) - 2**63)
@@ -109,73 +116,96 @@ def learn(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     return fit(x, (np.array([r["quality"] for r in taken], dtype=float) >= 0.5).astype(float))
 
 
-def strength(sites: DataFrame, mean: Column | str) -> float:
-    """How many documents' worth of prior a site gets: from the spread of sites beyond what their own sampling explains.
+def log_likelihood(n: float, good: float, mean: float, strength: float) -> float:
+    """Of a site's counts (parts of documents count as parts), up to a constant, when its prior is worth ``strength`` documents."""
+    a, b = strength * mean, strength * (1 - mean)
+    return (math.lgamma(a + good) - math.lgamma(a) + math.lgamma(b + n - good) - math.lgamma(b)
+            - math.lgamma(strength + n) + math.lgamma(strength))
+
 
-    ``sites`` has n, good (sum of evidence) and the share that each is shrunk toward. A weighted sum over all sites; one row comes back.
+def strength(sites: DataFrame) -> float:
+    """How many documents' worth of prior a site gets, from rows (n, good, mean): the most likely of STRENGTHS, each weighed by 1 / (1 + it).
+
+    Tasks sum the likelihoods over their sites; one row a strength comes back.
     """
-    g = F.col(mean) if isinstance(mean, str) else mean
-    d = F.col("good") / F.col("n") - g
-    r = sites.agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * d * d).alias("spread"),
-                  F.sum(g * (1 - g)).alias("noise"), F.sum(F.col("n") * g * (1 - g)).alias("variance")).first()
-    if not r["k"] or r["n"] <= r["k"] or not r["variance"]:
-        return MOST_STRENGTH
-    between = max(0.0, (r["spread"] - r["noise"]) / (r["n"] - r["k"]))
-    return min(MOST_STRENGTH, max(LEAST_STRENGTH, r["variance"] / r["n"] / between - 1)) if between > 0 else MOST_STRENGTH
-
-
-def posteriors(rows: DataFrame) -> DataFrame:
-    """(host, path, host_posterior, path_posterior) from rows (host, path, p_document); ``global_share`` beside them."""
-    paths = settle(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p_document").alias("good")))
-    hosts = settle(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
-    whole = hosts.agg(F.sum("good"), F.sum("n")).first()
+    def run(batches):
+        sums = np.zeros(len(STRENGTHS))
+        for pdf in batches:
+            for n, good, mean in pdf[["n", "good", "mean"]].itertuples(index=False):
+                sums += [log_likelihood(n, min(max(good, 0.0), n), min(max(mean, EDGE), 1 - EDGE), m) for m in STRENGTHS]
+        yield pd.DataFrame({"k": range(len(STRENGTHS)), "v": sums})
+
+    found = dict(sites.select(F.col("n").cast("double").alias("n"), "good", "mean").mapInPandas(run, "k int, v double").groupBy("k").agg(F.sum("v")).collect())
+    return max(STRENGTHS, key=lambda m: found.get(STRENGTHS.index(m), 0.0) - math.log1p(m))
+
+
+def sites(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(host, path, n, good, host_n, host_good, host_strength, path_strength, global_share) from rows (host, path, p_document) and the
+    labelled rows: what a document's odds need of its site."""
+    soft = rows.select("host", "path", F.col("p_document").alias("good"))
+    hard = found.select("host", "path", (F.col("quality") >= 0.5).cast("double").alias("good"))
+    paths = settle(soft.unionByName(hard).groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("good").alias("good")))
+    hosts = settle(paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good")))
+    whole = hosts.agg(F.sum("host_good"), F.sum("host_n")).first()
     share = whole[0] / whole[1] if whole[1] else 0.5
-    m = strength(hosts, F.lit(share))
-    hosts = settle(hosts.select("host", ((F.col("good") + m * share) / (F.col("n") + m)).alias("host_posterior")))
-    paths = paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).select(paths["host"], "path", "n", "good", "host_posterior")
-    m = strength(paths, "host_posterior")
-    return settle(paths.select("host", "path", "host_posterior", F.lit(share).alias("global_share"),
-                               ((F.col("good") + m * F.col("host_posterior")) / (F.col("n") + m)).alias("path_posterior")))
+    m = strength(hosts.select(F.col("host_n").alias("n"), F.col("host_good").alias("good"), F.lit(share).alias("mean")))
+    paths = settle(paths.alias("p").join(hosts.alias("h"), F.col("p.host").eqNullSafe(F.col("h.host"))).select(
+        "p.*", "host_n", "host_good", F.lit(m).alias("host_strength"), F.lit(share).alias("global_share")))
+    mean = (F.col("host_good") + m * share) / (F.col("host_n") + m)
+    return settle(paths.withColumn("path_strength", F.lit(strength(paths.select("n", "good", mean.alias("mean"))))))
 
 
-def _featured(df: DataFrame, text_col: str, *keep: Column) -> DataFrame:
-    return map_texts(df.select(*keep, F.col(text_col).cast("binary").alias("text")), "features array<double>", Features)
+def site_posteriors(p: Column, s: str = "") -> tuple[Column, Column]:
+    """Posterior good shares of a document's host and path without the document, whose own evidence is ``p``."""
+    c = lambda name: F.col(f"{s}{name}")
+    host = (c("host_good") - p + c("host_strength") * c("global_share")) / (c("host_n") - 1 + c("host_strength"))
+    return host, (c("good") - p + c("path_strength") * host) / (c("n") - 1 + c("path_strength"))
+
+
+def quality_of(p: Column, s: str = "") -> Column:
+    """Probability of a good document from its evidence and the columns of ``sites``."""
+    path = F.greatest(F.least(site_posteriors(p, s)[1], F.lit(1 - EDGE)), F.lit(EDGE))
+    share = F.greatest(F.least(F.col(f"{s}global_share"), F.lit(1 - EDGE)), F.lit(EDGE))
+    return 1 / (1 + F.exp(-(logit(p) - logit(share) + logit(path))))
 
 
-def judged(rows: DataFrame, sites: DataFrame, threshold: float) -> DataFrame:
-    """``rows`` (host, path, p_document and others) with the posteriors of their site, ``p_quality`` and ``kept``."""
-    at = rows["host"].eqNullSafe(sites["host"]) & rows["path"].eqNullSafe(sites["path"])
-    joined = rows.join(sites, at).drop(sites["host"]).drop(sites["path"])
-    odds = logit(F.col("p_document")) - logit(F.col("global_share")) + logit(F.col("path_posterior"))
-    quality = 1 / (1 + F.exp(-odds))
-    return joined.withColumn("p_quality", quality).withColumn("kept", quality >= threshold).drop("global_share")
+def _featured(df: DataFrame, text_col: str, *keep: Column) -> DataFrame:
+    return map_texts(df.select(*keep, F.col(text_col).cast("binary").alias("text")), "features array<double>", Features)
 
 
 def classify(df: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = DOC_ID, text_col: str = "text",
              sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, host, path, p_document, host_posterior, path_posterior, p_quality, kept) for every row.
+    """(doc_id, host, path, p_document, host_posterior, path_posterior, p_quality, kept, changed) for every row.
 
-    A null host or path is a site of its own; a null text has the form of an empty one. Repeated rows count as often as they come.
-    Without labels every document's own evidence is even, and all are kept.
+    The posteriors are those of the document's site without the document; ``changed`` says whether its site turned the verdict of its own
+    evidence. A null host or path is a site of its own; a null text has the form of an empty one. Repeated rows count as often as they come.
+    Without labels every document's own evidence is even, and all are kept. Texts are read whole, however long; other columns are
+    left behind; an empty table gives an empty result.
     """
     rows = settle(_featured(df, text_col, F.col(id_col).alias(DOC_ID), host.cast("string").alias("host"), path.cast("string").alias("path")))
-    rows = rows.withColumn("p_document", evidence(F.col("features"), learn(rows, labels, sample))).drop("features")
-    return judged(rows, posteriors(rows), threshold).select(
-        DOC_ID, "host", "path", "p_document", "host_posterior", "path_posterior", "p_quality", "kept")
+    found = labelled(rows, labels)
+    rows = rows.withColumn("p_document", evidence(F.col("features"), learn(found, sample))).drop("features")
+    p, known = F.col("p_document"), sites(rows, found).alias("s")
+    joined = rows.alias("d").join(known, F.col("d.host").eqNullSafe(F.col("s.host")) & F.col("d.path").eqNullSafe(F.col("s.path")))
+    at_host, at_path = site_posteriors(p)
+    quality = joined.select(DOC_ID, "d.host", "d.path", "p_document", at_host.alias("host_posterior"), at_path.alias("path_posterior"), quality_of(p).alias("p_quality"))
+    return quality.withColumn("kept", F.col("p_quality") >= threshold).withColumn("changed", F.col("kept") != (p >= threshold))
 
 
 def keep(df: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = DOC_ID, text_col: str = "text",
          sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``df`` that ``classify`` keeps, with all their columns.
+    """The rows of ``df`` that ``classify`` keeps, with all their columns, nulls, empty texts, repeated rows and empty tables as there.
 
     Features are taken twice, first for the model and the sites, then beside the rows, so that texts are not shuffled to meet the verdicts.
     """
     rows = settle(_featured(df, text_col, F.col(id_col).alias(DOC_ID), host.cast("string").alias("host"), path.cast("string").alias("path")))
-    model = learn(rows, labels, sample)
-    sites = posteriors(rows.withColumn("p_document", evidence(F.col("features"), model)).drop("features"))
-    least = settle(sites.select("host", "path", (logit(F.lit(threshold)) + logit(F.col("global_share")) - logit(F.col("path_posterior"))).alias("least")))
-    text = fresh(df, "text")
-    again = map_texts(df.withColumn(text, F.col(text_col).cast("binary")), "__features array<double>", Features)
-    at = host.cast("string").eqNullSafe(least["host"]) & path.cast("string").eqNullSafe(least["path"])
-    passed = again.join(least, at).filter(logit(evidence(F.col("__features"), model)) >= F.col("least"))
-    return passed.select(*[again[c] for c in df.columns])
+    found = labelled(rows, labels)
+    model = learn(found, sample)
+    known = sites(rows.withColumn("p_document", evidence(F.col("features"), model)).drop("features"), found).alias("s")
+    text, features = fresh(df, "text"), fresh(df, "features")
+    site = {c: fresh(df, c) for c in ("host", "path")}
+    named = df.withColumns({site["host"]: host.cast("string"), site["path"]: path.cast("string"), text: F.col(text_col).cast("binary")})
+    again = map_texts(named, f"`{features}` array<double>", Features).alias("d")
+    passed = again.join(known, F.col(f"d.{site['host']}").eqNullSafe(F.col("s.host")) & F.col(f"d.{site['path']}").eqNullSafe(F.col("s.path")))
+    passed = passed.filter(quality_of(evidence(F.col(f"d.{features}"), model), "s.") >= threshold)
+    return passed.select(*[F.col(f"d.`{c}`") for c in df.columns])

@@ -2,7 +2,7 @@
 
 Suffixes are sorted by prefix doubling, many texts side by side: after k rounds suffixes are ranked by
 their first 2^k words, and only those that still share a rank go on. Neighbours in the suffix array that
-share at least ``MIN_WORDS`` words bound the longest-common-prefix intervals; a suffix's deepest interval is the longer of its two
+share at least ``FEWEST`` words bound the longest-common-prefix intervals; a suffix's deepest interval is the longer of its two
 neighbours' prefixes and gives the longest repeat that begins at it. The union of these spans is what repeats in the text.
 """
 
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from hammerline.llm.common import DOC_ID, fresh, map_texts, narrow, slices
 
-MIN_WORDS = 8  # shortest repeat that counts
+MIN_WORDS = 8  # of the windows that the base rule counts
+FEWEST = 3  # shortest repeat that counts as covered
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of words in repeated windows
-MOST_COVERED = 0.3  # part of the bytes of words that repeats may cover
+MOST_COVERED = 0.4  # part of the bytes of words that repeats may cover; labelled good documents stay under 0.28
 LONGEST_REPEAT = 200  # words
 BATCH_WORDS = 200_000
 # Characters that count as symbols, and the white space that parts words.
@@ -26,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
 
 
-def longest_repeats(codes: np.ndarray, ends: np.ndarray, least: int = MIN_WORDS) -> np.ndarray:
+def longest_repeats(codes: np.ndarray, ends: np.ndarray, least: int = FEWEST) -> np.ndarray:
     """For each word the length of the longest substring from it on that occurs elsewhere in its text; 0 under ``least``.
 
     ``codes`` are word codes of texts in a row, ``ends`` the end of the text that each word belongs to.
@@ -124,10 +125,10 @@ class Rules:
         counts = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
         chars = len(text) - int(counts[0x80:0xC0].sum()) - int(counts[self.spaces].sum())
         lines = [line for line in text.split(b"\n") if line.strip()]
-        at = np.flatnonzero(repeats)
+        at, windows = np.flatnonzero(repeats), np.flatnonzero(repeats >= MIN_WORDS)
         in_windows = fraction = longest = 0
         if len(at):
-            in_windows = int(covered(at, np.full(len(at), MIN_WORDS), n).sum())
+            in_windows = int(covered(windows, np.full(len(windows), MIN_WORDS), n).sum())
             size = np.fromiter(map(len, words), dtype=np.int64, count=n)
             fraction = float(size[covered(at, repeats[at], n)].sum() / size.sum())
             longest = int(repeats.max())
@@ -139,13 +140,18 @@ class Rules:
 def quality_rules(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
     """(doc_id, measures, base_failed, kept, covered_fraction, longest_repeat) for every row.
 
-    A null or empty text has no words and fails. Rows stand alone: repeated rows repeat their result; no table is too small.
+    ``covered_fraction`` is the part of the bytes of words that lies in a maximal repeat of ``FEWEST`` words or more, so a text of a few words said
+    over and over fails as one with long repeats does. A null or empty text has no words and fails. Rows stand alone: repeated rows
+    repeat their result; very long texts are taken whole; other columns are left behind; an empty table gives an empty result.
     """
     return map_texts(narrow(df, id_col, text_col, binary=True), Rules.FIELDS, Rules)
 
 
 def keep(df: DataFrame, text_col: str = "text", rules=Rules) -> DataFrame:
-    """The rows of ``df`` whose text passes the rules, with all their columns; decided inside the tasks, without a shuffle."""
+    """The rows of ``df`` whose text passes the rules, with all their columns; decided inside the tasks, without a shuffle.
+
+    Null and empty texts fail; repeated rows pass or fail alike; an empty table stays empty.
+    """
     name = fresh(df, "bytes")
 
     def run(batches):

@@ -156,10 +156,10 @@ def keep_one(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text", shingl
     Rows are numbered in a settled copy, so that repeated rows, which nothing else tells apart, leave one behind.
     Rows meet those numbers in a merge join at every size: numbers are even, and disk use is the same share of small and large tables.
     """
-    row, text = fresh(df, "row"), fresh(df, "bytes")
+    row, text, fp = fresh(df, "row"), fresh(df, "bytes"), fresh(df, "fp")
     numbered = df.withColumn(row, F.monotonically_increasing_id()).withColumn(text, F.col(text_col).cast("binary"))
-    copy = settle(map_texts(numbered, "__fp bigint", lambda: lambda texts: [[fingerprint(t, shingle) for t in texts]]))
-    fps = copy.select(F.col(id_col).alias(DOC_ID), F.col("__fp").alias("fp"), F.col(row).alias("row"))
+    copy = settle(map_texts(numbered, f"`{fp}` bigint", lambda: lambda texts: [[fingerprint(t, shingle) for t in texts]]))
+    fps = copy.select(F.col(id_col).alias(DOC_ID), F.col(fp).alias("fp"), F.col(row).alias("row"))
     first = fps.join(classes(fps, radius), "fp").groupBy("root").agg(
         F.min(F.struct(F.col(DOC_ID).isNull(), DOC_ID, "row")).alias("first"))
     stay = settle(first.select(F.col("first.row").alias(row)))

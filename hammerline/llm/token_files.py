@@ -2,13 +2,13 @@
 
 Layout of a file, which any zstandard decoder can read as a whole:
 
-    frame of document 0 | frame of document 1 | ... | skippable frame: index | skippable frame: seek table | skippable frame: end
+    frame of document 0 | frame of document 1 | ... | skippable frame: index | skippable frame: seek table
 
 The index holds a JSON header (bucket, part, width of an id in bytes) and the doc_ids as signed 64-bit integers. The seek table
 has for each frame its compressed and decompressed size and the low 32 bits of the XXH64 of its content, then the number of frames, a
-descriptor and the seekable magic number, as in the public seekable format. The end is nine bytes, the last of
-which is the line feed that Spark's text writer puts after a row: files are written as rows of that writer, so
-they reach any store that Spark can write, and a task that is run again leaves no second copy.
+descriptor and the seekable magic number, as in the public seekable format: they are the last bytes of the file, where its readers look.
+Files are written as rows of Spark's text writer, so they reach any store that Spark can write, and a task that is run again
+leaves no second copy. That writer ends a row with a separator; it is set to the one byte with which the magic number ends.
 """
 
 from __future__ import annotations
@@ -32,11 +32,11 @@ from hammerline.session import settle, shared_dir
 
 FILE_BYTES = 32 << 20  # a file is closed once it holds as many compressed bytes
 WIDTH = 2
-# Magic numbers of the public formats, and our ends.
-SKIP_INDEX, SKIP_SEEK, SKIP_END = 0x184D2A50, 0x184D2A5E, 0x184D2A5F
+# Magic numbers of the public formats.
+SKIP_INDEX, SKIP_SEEK = 0x184D2A50, 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
 CHECKED = 0x80
-END = struct.pack("<II", SKIP_END, 1)  # and one byte: the writer's line feed
+LAST = bytes([SEEKABLE >> 24])  # the byte that the writer adds
 
 
 def _skippable(magic: int, body: bytes) -> bytes:
@@ -62,20 +62,20 @@ class FileBuilder:
         header = json.dumps({"bucket": self.bucket, "part": self.part, "width": WIDTH, "missing": [k for k, i in enumerate(self.ids) if i is None]}).encode()
         index = struct.pack("<I", len(header)) + header + np.array([i or 0 for i in self.ids], dtype="<i8").tobytes()
         seek = b"".join(self.entries) + struct.pack("<IBI", len(self.entries), CHECKED, SEEKABLE)
-        return b"".join(self.frames) + _skippable(SKIP_INDEX, index) + _skippable(SKIP_SEEK, seek) + END
+        return b"".join(self.frames) + _skippable(SKIP_INDEX, index) + _skippable(SKIP_SEEK, seek)[:-1]
 
 
 class FileReader:
     """Reads a token file; ``document`` decompresses only the frame asked for and checks both its checksums."""
 
     def __init__(self, content: bytes):
-        if content[-1:] != b"\n" or content[-9:-1] != END:
+        if len(content) < 17:
             raise ValueError("not a token file: the end is missing")
         self.content = memoryview(content)
-        n, descriptor, magic = struct.unpack("<IBI", content[-18:-9])
+        n, descriptor, magic = struct.unpack("<IBI", content[-9:])
         if magic != SEEKABLE or descriptor != CHECKED:
             raise ValueError("not a token file: no seek table")
-        table = len(content) - 18 - 12 * n
+        table = len(content) - 9 - 12 * n
         self.table = np.frombuffer(content, dtype="<u4", count=3 * n, offset=table).reshape(n, 3)
         if struct.unpack("<II", content[table - 8:table]) != (SKIP_SEEK, 12 * n + 9):
             raise ValueError("the seek table is damaged")
@@ -146,7 +146,7 @@ def write(df: DataFrame, path: str, id_col: str = DOC_ID, text_col: str = "text"
     rows = base.mapInArrow(_encode(tokenizer or tokens.default_path(), bucket_bounds(base, DOC_ID, buckets)), "bucket int, doc_id bigint, ids binary")
     rows = rows.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_last(), "ids")
     files = rows.mapInArrow(_build(file_bytes), "file binary").select(F.col("file").cast("string").alias("value"))
-    files.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").option("compression", "none").text(path)
+    files.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", LAST.decode("ISO-8859-1")).option("compression", "none").text(path)
 
 
 def _read(batches):

@@ -1,6 +1,6 @@
 import pytest
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, fp string, size string, shard string, bucket string, row string, `__row` string, features string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, fp string, size string, shard string, bucket string, row string, `__row` string, features string, `__fp` string, `__features` string, hash string, more string, least string, base string, `__host` string, `__bytes` string"
 PII = "Write to ann.lee@mail.example.com or +1 (702) 555-0742, host 10.0.0.1, card 4111 1111 1111 1111."
 LONG = " ".join(f"w{k % 977}x{k % 1013}" for k in range(40_000))
 TEXTS = [
@@ -20,7 +20,7 @@ def edge_rows():
 @pytest.fixture(scope="session")
 def edge(spark, edge_rows):
     """Those rows with nulls and clashing names in the other columns."""
-    return spark.createDataFrame([(i, t, None, None if k % 2 else "src", None, *["clash"] * 8) for k, (i, t) in enumerate(edge_rows)], SCHEMA)
+    return spark.createDataFrame([(i, t, None, None if k % 2 else "src", None, *["clash"] * 16) for k, (i, t) in enumerate(edge_rows)], SCHEMA)
 
 
 @pytest.fixture(scope="session")

@@ -67,6 +67,31 @@ def test_limits():
     assert row["longest_repeat"] == 210 and not row["base_failed"] and not row["kept"]
     assert repetition.Rules(longest_repeat=300)([text])[6] == [True]
     assert repetition.Rules(longest_repeat=300, most_covered=0.2)([text])[6] == [False]
+    said = " ".join(w for k, w in enumerate(("This", "thhant", "ouen", "oredat", "nterti", "erea")) for _ in range(6 + k % 3)).encode()
+    assert repetition.Rules()([said])[5:8] == [[False], [False], [1.0]]
+
+
+def plain_method(text):
+    """Covered fraction, longest repeat and verdict from every pair of places."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    found = plain_repeats(words, repetition.FEWEST)
+    inside = {k + d for k, length in enumerate(found) for d in range(length)}
+    size = [len(w.encode()) for w in words]
+    fraction = sum(size[k] for k in inside) / sum(size) if words else 0.0
+    kept = not plain(text)[-1] and fraction <= repetition.MOST_COVERED and max(found, default=0) <= repetition.LONGEST_REPEAT
+    return fraction, max(found, default=0), kept
+
+
+def test_method_against_brute_force():
+    import random
+    r = random.Random(7)
+    texts = [" ".join(r.choice(["aa", "b", "ccc", "d", "éé", "f" * 9, *(f"w{r.randrange(60)}" for _ in range(r.randrange(12)))]) for _ in range(r.randrange(0, 120))) for _ in range(150)]
+    texts += [" ".join(["x"] * 45), "", " ".join(f"u{k}" for k in range(60))]
+    got = repetition.Rules()([t.encode() for t in texts])
+    want = [plain_method(t) for t in texts]
+    assert got[7] == [float(f) for f, _, _ in want] or all(abs(a - f) < 1e-12 for a, (f, _, _) in zip(got[7], want, strict=True))
+    assert got[8] == [n for _, n, _ in want] and got[6] == [k for _, _, k in want]
+    assert 10 < sum(got[6]) < 140
 
 
 def test_keep(edge, empty):

@@ -1,5 +1,6 @@
 """Ids, token files and packing against the tokenizers library and plain sums."""
 
+import struct
 import zlib
 
 import numpy as np
@@ -77,8 +78,16 @@ def test_file_is_plain_zstandard_and_checked():
     parts = [np.array(x, dtype="<u2").tobytes() for x in ([1], [5, 6, 7, 1], list(range(500)))]
     for k, p in enumerate(parts):
         build.add(k, p)
-    content = build.close() + b"\n"
+    content = build.close() + token_files.LAST
     assert zstandard.ZstdDecompressor().stream_reader(content, read_across_frames=True).read() == b"".join(parts)
+    # the public seekable format: the footer is the end of the file, and the table lies before it
+    n, descriptor, magic = struct.unpack("<IBI", content[-9:])
+    assert (n, descriptor, magic) == (3, 0x80, 0x8F92EAB1) and content[-9 - 12 * n - 8:-9 - 12 * n] == struct.pack("<II", 0x184D2A5E, 12 * n + 9)
+    at = 0
+    for k in range(n):
+        packed, plain, _ = struct.unpack("<III", content[-9 - 12 * (n - k):][:12])
+        assert zstandard.ZstdDecompressor().decompress(content[at:at + packed]) == parts[k] and plain == len(parts[k])
+        at += packed
     reader = token_files.FileReader(content)
     assert reader.document(1).tolist() == [5, 6, 7, 1] and reader.lengths().tolist() == [1, 4, 500]
     broken = bytearray(content)
