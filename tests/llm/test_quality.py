@@ -84,7 +84,7 @@ def site_corpus():
 def test_sites_turn_verdicts(spark):
     docs, labels = site_corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, part string, form string")
-    got = quality.classify(df, labels_of(spark, labels), F.col("source"), F.col("part")).toPandas().set_index("doc_id")
+    got = quality.classify(df, labels_of(spark, labels), F.col("source"), F.col("part")).toPandas().set_index("doc_id").sort_index()
     got["form"] = [d[4] for d in docs]
     middle = got[got.form == "middle"]
     assert middle.p_document.between(0.1, 0.9).all()
