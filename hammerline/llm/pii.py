@@ -36,7 +36,7 @@ SEPARATORS = str.maketrans("", "", " -().+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?()[]{}<>\"'"
 LABEL = re.compile(r"([A-Za-z_-]++)[=:](?=.)")
-GROUP = re.compile(r"[0-9().+-]*[0-9][0-9().+-]*")
+GROUP = re.compile(r"[().+-]*+[0-9][0-9().+-]*+")
 FEWEST, MOST = 7, 19  # digits of a phone, of a card
 
 
@@ -106,7 +106,7 @@ def digits_on(text: str, tokens: list[tuple[int, int]], k: int, start: int, befo
     end = tokens[k][1]
     count = lambda a, b: sum("0" <= c <= "9" for c in text[a:b])
     held = count(start, end)
-    if not held or held >= FEWEST or not GROUP.fullmatch(text, start, end):
+    if held >= FEWEST:
         return end
     while k + 1 < len(tokens):
         a, b = tokens[k + 1]
@@ -151,9 +151,11 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             piece, shift = text[start:end], 0
             if (label := LABEL.match(piece)):
                 shift = label.end()
-            last, stop = k, digits_on(text, tokens, k, start + shift, taken[at][0] if at < len(taken) else len(text))
-            while tokens[last][1] < stop:
-                last += 1
+            last, stop = k, end
+            if GROUP.fullmatch(text, start + shift, end):
+                stop = digits_on(text, tokens, k, start + shift, taken[at][0] if at < len(taken) else len(text))
+                while tokens[last][1] < stop:
+                    last += 1
             value = text[start + shift:stop]
             left = len(value) - len(value.lstrip(EDGES))
             if ")" in value[left:] and value[:left].endswith("("):
