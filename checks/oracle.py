@@ -90,15 +90,29 @@ _HISTORY = """
   GROUP BY ALL"""
 CTES["bid_history"] = _HISTORY.format(dated="", start=START)
 CTES["bid_history_dated"] = _HISTORY.format(dated="f.AuctionDate,", start=START)
-_BUDGET = """
-  SELECT bidderemail, count(DISTINCT PropertyId) AS AssetsBidUpon, avg(MaxBid) AS AvgMaxBid, avg(Winner) AS AvgWinRate,
-         avg(CASE WHEN MaxBid > WinningBid THEN 1.0 ELSE 0.0 END) AS FallOutRate,
-         avg(MaxBid / nullif(CASE WHEN Reserve < 1 THEN coalesce(MaxBid, StartingBid) ELSE Reserve END, 0)) AS AvgMaxBidAsShareOfReserve,
-         avg(StartingBid) AS AvgStartingBid, avg(Reserve) AS AvgReserve,
-         avg(CASE WHEN beds >= 0 THEN beds END) AS avgBeds, avg(CASE WHEN baths >= 0 THEN baths END) AS avgBaths,
-         avg(CASE WHEN lotsize >= 0 THEN lotsize END) AS avgLotSize,
-         avg(CASE WHEN yearbuilt > 1500 THEN yearbuilt END) AS AvgYearBuilt, avg(BPO) AS AvgBPO
-  FROM {} GROUP BY 1"""
+def _exact_means(sql: str) -> str:
+    """``mean(x)`` as a sum of whole multiples of 2**-70, which is the same in every order of rows."""
+    unit, out, at = 2**70, "", 0
+    while (found := sql.find("mean(", at)) >= 0:
+        end, depth = found + 5, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        x = f"CAST(({sql[found + 5:end - 1]}) AS DOUBLE)"
+        out += sql[at:found] + f"(CAST(sum(CAST({x} * {unit}.0e0 AS HUGEINT)) AS DOUBLE) / {unit}.0e0 / count({x}))"
+        at = end
+    return out + sql[at:]
+
+
+_BUDGET = _exact_means("""
+  SELECT bidderemail, count(DISTINCT PropertyId) AS AssetsBidUpon, mean(MaxBid) AS AvgMaxBid, mean(Winner) AS AvgWinRate,
+         mean(CASE WHEN MaxBid > WinningBid THEN 1.0 ELSE 0.0 END) AS FallOutRate,
+         mean(MaxBid / nullif(CASE WHEN Reserve < 1 THEN coalesce(MaxBid, StartingBid) ELSE Reserve END, 0)) AS AvgMaxBidAsShareOfReserve,
+         mean(StartingBid) AS AvgStartingBid, mean(Reserve) AS AvgReserve,
+         mean(CASE WHEN beds >= 0 THEN beds END) AS avgBeds, mean(CASE WHEN baths >= 0 THEN baths END) AS avgBaths,
+         mean(CASE WHEN lotsize >= 0 THEN lotsize END) AS avgLotSize,
+         mean(CASE WHEN yearbuilt > 1500 THEN yearbuilt END) AS AvgYearBuilt, mean(BPO) AS AvgBPO
+  FROM {} GROUP BY 1""")
 CTES["budget"] = _BUDGET.format("bid_history")
 CTES["budget_dated"] = _BUDGET.format("bid_history_dated")
 CTES["attendance_rate"] = f"""
@@ -310,6 +324,23 @@ CTES["repaired"] = """
     SELECT PropertyState, median(CASE WHEN Age < 200 THEN Age END) AS mAge, median(CASE WHEN Bedrooms > 0 THEN Bedrooms END) AS mBed,
            median(CASE WHEN Baths > 0 THEN Baths END) AS mBath, avg(CASE WHEN HomeSquareFootage >= 100 THEN HomeSquareFootage END) AS mFeet,
            median(TotalActive) AS mAct, median(Vacancy) AS mVac FROM feature GROUP BY 1) s ON f.PropertyState = s.PropertyState"""
+CTES["repaired_trustee"] = CTES["repaired"].replace("FROM feature", "FROM feature_trustee").replace(
+    "coalesce(TotalActive, mAct)", "coalesce(TotalActive, mAct, nAct)").replace("coalesce(Vacancy, mVac)", "coalesce(Vacancy, mVac, nVac)") + """
+  CROSS JOIN (SELECT median(TotalActive) AS nAct, median(Vacancy) AS nVac FROM feature_trustee) n"""
+_ABSURD = "CASE WHEN BPOSurplusPct >= 5 OR BPOSurplusPct < -0.9 THEN NULL ELSE BPO END"
+for _t, _who in (("", "SellerName"), ("_trustee", "TrusteeName")):
+    CTES[f"cleaned{_t}"] = f"""
+  SELECT * EXCLUDE (BPO, {_who}, PropertyCity), {_ABSURD} AS BPO, replace({_who}, ',', '') AS {_who}, replace(PropertyCity, ',', '') AS PropertyCity
+  FROM feature{_t} WHERE AuctionDate >= {HORIZON} AND Reserve IS NOT NULL"""
+    CTES[f"filled_cleaned{_t}"] = CTES["filled"].replace("gappy", f"cleaned{_t}")
+CTES["prepared"] = """
+  SELECT * EXCLUDE (IsSubjectToApproval, BPOSurplus), coalesce(IsSubjectToApproval, 0) AS IsSubjectToApproval, BPO - Reserve AS BPOSurplus,
+         CASE WHEN BPO IS NULL THEN 1 ELSE 0 END AS IsPredictedBPO, 0.0e0 AS ExternalEstimate FROM filled_cleaned
+  WHERE PropertyState IN (SELECT PropertyState FROM cleaned GROUP BY 1 HAVING count(*) > 30)"""
+CTES["prepared_trustee"] = """
+  SELECT * EXCLUDE (HighBid, BPOSurplus), coalesce(HighBid, WinningBid) AS HighBid, BPO - Reserve AS BPOSurplus,
+         CASE WHEN BPO IS NULL THEN 1 ELSE 0 END AS IsPredictedBPO FROM filled_cleaned_trustee
+  WHERE PropertyState IN (SELECT PropertyState FROM cleaned_trustee GROUP BY 1 HAVING count(*) > 50)"""
 _S2 = ("Turnover", "Appreciation", "MedianPPSQFT", "ForeclosedPer10000", "PrevForeclosureSoldRate")
 CTES["second_step"] = f"""
   SELECT g.PropertyId, g.AuctionId, g.VenueId, {', '.join(f'CASE WHEN g.Turnover IS NULL THEN s.{m} ELSE g.{m} END AS {m}' for m in (*_S2, 'PercentHomesSold', 'TotalHomesForSale'))},

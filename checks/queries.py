@@ -15,10 +15,12 @@ from checks.oracle import oracle_query
 from checks.roles import TestTables
 from hammerline.functions import scoring as sf
 from hammerline.functions.scoring import TIMES, term_value
-from hammerline.operators import bidders, explain, features as fx, history, impute, models, publish, report, scoring
+from hammerline.functions.columns import number
+from hammerline.operators import bidders, commits, explain, features as fx, history, impute, models, publish, report, rolling, scoring
 from hammerline.params import LISTING_KEY, Params
 from hammerline.plans import nontrustee, train, trustee
 from hammerline.session import settle, shared_dir
+from hammerline.sources import files
 
 P = Params(as_of=date(2001, 5, 15), programme_start=date(2000, 1, 1), registration_start=date(2000, 1, 1),
            training_registration_start=date(2000, 1, 1))
@@ -481,8 +483,12 @@ def _plain(terms):
     return [c for t in terms for c in t.split(TIMES) if c not in _DERIVED]
 
 
-def _gradients(rows, fits, terms, label, logistic):
-    """(PropertyState, Rows, Ones, Status, Gradient) of one label's fits: the largest part of the standardised gradient."""
+def _gradients(rows, fits, terms, label, logistic, share=0.0, standard=True):
+    """(PropertyState, Rows, Ones, Status, Gradient) of one label's fits: the largest breach of the conditions of the optimum.
+
+    A slope that is not zero has a gradient that its penalty balances, one that is zero a gradient within the lasso part of it. Gradient and
+    penalty are those of standardised terms, or, with ``standard=False``, of the terms as they are, in units of the target's spread.
+    """
     x = {t: term_value(t).cast("double") for t in terms}
     held = settle(rows.select("PropertyState", F.col(label).cast("double").alias("_y"), *[c.alias(f"_{i}") for i, c in enumerate(x.values())]))
     held = held.filter(~F.exists(F.array(*held.columns[1:]), F.isnull)).filter("PropertyState IS NOT NULL")
@@ -496,8 +502,11 @@ def _gradients(rows, fits, terms, label, logistic):
     parts = []
     for i, t in enumerate(terms):
         c, sd = F.col(f"_{i}"), F.stddev_pop(f"_{i}")
-        slope = F.max(b[i + 1])
-        parts.append(F.when(sd > 1e-9, F.abs(F.covar_pop("_r", c) / sd - F.max("_l") * slope * sd)).otherwise(0.0))
+        unit = sd if standard else F.lit(1.0)
+        slope, pull, lam = F.max(b[i + 1]) * unit, F.covar_pop("_r", c) / unit, F.max("_l")
+        breach = F.when(slope != 0, F.abs(pull - lam * ((1 - share) * slope + share * F.signum(slope)))).otherwise(
+            F.greatest(F.abs(pull) - lam * share, F.lit(0.0)))
+        parts.append(F.when(sd > 1e-9, breach / (F.lit(1.0) if standard else sd)).otherwise(0.0))
     size = F.lit(1.0) if logistic else F.greatest(F.stddev_pop("_y"), F.lit(1e-9))
     worst = F.greatest(F.abs(F.avg("_r")), *parts) / size
     out = held.groupBy("PropertyState").agg(F.count("*").alias("Rows"), F.sum("_y").alias("Ones"), F.max("Status").alias("Status"), worst.alias("g"))
@@ -552,3 +561,216 @@ add("fit_and_score_pre_reserve", _FITTED + "AuctionDaySalePrediction:4 SellerAcc
     lambda wh: train.fit_and_score(training(wh), train.PRE_RESERVE, P).full)
 add("fit_and_score_trustee", _FITTED + "ThirdPartySalePrediction:4 PostponePrediction:4 CancelPrediction:4 HighBidPrediction:2 ReserveRedux:2")(
     lambda wh: train.fit_and_score(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), train.TRUSTEE, P).full)
+
+# ---- logistic and elastic-net fits are optimal --------------------------------------------------
+
+
+def _logistic_is_optimal(rows, terms, labels):
+    rows = settle(rows)
+    fits = settle(models.ridge_logistic_fits(rows, terms, labels))
+    parts = [_gradients(rows, fits.filter(F.col("model") == label), terms, label, True, models.LASSO_SHARE) for label in labels]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    # a state without both classes answers by its share and says so
+    return out.withColumn("Ended", F.when(F.col("Status") == models.ONE_CLASS, (F.col("Ones") == 0) | (F.col("Ones") == F.col("Rows"))).otherwise(
+        F.col("Status") == models.CONVERGED).cast("int"))
+
+
+_OPTIMAL = "PropertyState Label Rows:i Ones:i Ended:i Gradient:4"
+
+
+def _fit_counts(source, terms, labels, ones=lambda x: f"sum({x})"):
+    """SQL: the rows that must have gone into every fit, and the optimum's zero."""
+    return " UNION ALL ".join(f"""
+      SELECT PropertyState, '{x}' AS Label, count(*) AS Rows, {ones(x)} AS Ones, 1 AS Ended, 0.0e0 AS Gradient
+      FROM {source} WHERE PropertyState IS NOT NULL AND {' AND '.join(f'{c} IS NOT NULL' for c in dict.fromkeys((*_plain(terms), x)))} GROUP BY 1""" for x in labels)
+
+
+_REO_LABELS = ["IsSold", "TrueSold", "AuctionReserveSuccess"]
+_REPAIRED = [x.partition(":")[0] for x in _REPAIR.split()]
+_FIT_SOURCE = f"(SELECT f.* EXCLUDE ({', '.join(_REPAIRED)}), {', '.join(f'r.{c}' for c in _REPAIRED)} FROM feature f JOIN repaired r USING (PropertyId, AuctionId, VenueId)) q"
+add("sale_models_are_optimal", _OPTIMAL, f"SELECT * FROM ({_fit_counts(_FIT_SOURCE, models.SALE_FIT, _REO_LABELS)}) u")(
+    lambda wh: _logistic_is_optimal(_fit_rows(wh), models.SALE_FIT, _REO_LABELS))
+add("pre_reserve_models_are_optimal", _OPTIMAL, f"SELECT * FROM ({_fit_counts(_FIT_SOURCE, models.PRE_RESERVE_FIT, _REO_LABELS)}) u")(
+    lambda wh: _logistic_is_optimal(_fit_rows(wh), models.PRE_RESERVE_FIT, _REO_LABELS))
+_T_REPAIRED = _REPAIRED
+_T_SOURCE = f"(SELECT f.* EXCLUDE ({', '.join(_REPAIRED)}), {', '.join(f'r.{c}' for c in _REPAIRED)} FROM feature_trustee f JOIN repaired_trustee r USING (PropertyId, AuctionId, VenueId)) q"
+_T_LABELS = ["IsSold", "IsPostponed", "IsCancelled"]
+add("trustee_models_are_optimal", _OPTIMAL, f"SELECT * FROM ({_fit_counts(_T_SOURCE, models.TRUSTEE_FIT, _T_LABELS)}) u")(
+    lambda wh: _logistic_is_optimal(_fit_trustee_rows(wh), models.TRUSTEE_FIT, _T_LABELS))
+
+
+def _price_is_optimal(wh):
+    rows = settle(_fit_rows(wh).filter(F.col("HighBid").isNotNull()))
+    fits = settle(models.elastic_net_price_fits(rows, models.PRICE_FIT, "HighBid"))
+    lam = fits.filter(F.col("term") == models.PENALTY).select("PropertyState", F.col("value").alias("penalty"))
+    held = fits.filter(F.col("term") != models.PENALTY).join(lam, "PropertyState").withColumn("status", F.lit(models.CONVERGED))
+    return _gradients(rows, held, models.PRICE_FIT, "HighBid", False, 0.005, standard=False)
+
+
+add("price_models_are_optimal", "PropertyState Rows:i Gradient:4", f"SELECT PropertyState, Rows, Gradient FROM ({_fit_counts(_FIT_SOURCE, models.PRICE_FIT, ['HighBid'])}) u")(_price_is_optimal)
+# One 0/1 term, lasso alone: the fitted shares of both groups move toward each other by the penalty, and SQL has the fit in closed form.
+add("lasso_logistic_one_term", "PropertyState term value:5", """
+  SELECT PropertyState, UNNEST(['Intercept', 'FinancingAvailable']) AS term,
+         UNNEST([CASE WHEN shrunk THEN ln(p / (1 - p)) ELSE ln(q0 / (1 - q0)) END, CASE WHEN shrunk THEN 0.0e0 ELSE ln(q1 / (1 - q1)) - ln(q0 / (1 - q0)) END]) AS value
+  FROM (SELECT *, (k1 + k0) / (n1 + n0) AS p, (k1 - d) / n1 AS q1, (k0 + d) / n0 AS q0, (k1 - d) / n1 <= (k0 + d) / n0 AND k1 / n1 >= k0 / n0
+               OR (k1 - d) / n1 >= (k0 + d) / n0 AND k1 / n1 <= k0 / n0 AS shrunk
+        FROM (SELECT *, 0.01e0 * sqrt(n1 * n0) * sign(k1 / n1 - k0 / n0) AS d
+              FROM (SELECT PropertyState, sum(FinancingAvailable) * 1.0e0 AS n1, sum(1 - FinancingAvailable) * 1.0e0 AS n0,
+                           sum(IsSold * FinancingAvailable) * 1.0e0 AS k1, sum(IsSold * (1 - FinancingAvailable)) * 1.0e0 AS k0
+                    FROM feature WHERE IsSold IS NOT NULL AND PropertyState IS NOT NULL GROUP BY 1) a) b) c""")(
+    lambda wh: models.ridge_logistic_fits(training(wh), ["FinancingAvailable"], ["IsSold"], share=1.0, penalty=0.01, tol=1e-9))
+
+# ---- rolling aggregates from stored parts --------------------------------------------------------
+
+
+def _day(text):
+    return (date.fromisoformat(text) - date(1970, 1, 1)).days
+
+
+def _rolled_bids(wh):
+    """History up to March is stored, then April; May is read from the bids themselves."""
+    kept = rolling.Measures(
+        ("PropertyId", "VenueId", "AuctionId"), "BidStartDate", maxima={"HighBid": F.col("BidAmount"), "WinningBid": F.col("WinningBid")},
+        distinct={"Bidders": F.col("BidderId"), "Bids": F.col("BidAmount")})
+    root = f"{shared_dir(wh.spark)}/rolled-{uuid.uuid4().hex}"
+    bids = wh["fact_bid_live"].filter(F.col("BidderId") != -1)
+    rolling.store(bids, kept, root, _day("2000-12-15"), _day("2001-03-31"))
+    rolling.store(bids, kept, root, _day("2001-04-01"), _day("2001-04-30"))
+    return rolling.window(wh.spark, kept, root, _day("2000-12-15"), _day("2100-01-01"), fresh=bids, last=_day("2001-04-30"))
+
+
+add("high_bid_history_rolled", _BID, "high_bid")(_rolled_bids)
+
+
+def _rolled_rates(wh):
+    kept = rolling.Measures(("SellerCode",), "AuctionDate", sums={"Sold": F.col("IsSold"), "Held": F.col("IsAuctioned")})
+    root = f"{shared_dir(wh.spark)}/rolled-{uuid.uuid4().hex}"
+    listings = settle(_live(wh).join(wh["dim_seller"].select("SellerId", "SellerCode"), "SellerId", "left"))
+    last = listings.agg(F.max("AuctionDate").cast("date")).first()[0]
+    rolling.store(listings, kept, root, _day("2000-12-01"), _day("2001-02-28"))
+    rolling.store(listings, kept, root, _day("2001-03-01"), (last - date(1970, 1, 1)).days)
+    out = rolling.window(wh.spark, kept, root, _day("2000-12-15"), (last - date(1970, 1, 1)).days + 1)
+    return out.select("SellerCode", (F.col("Sold") / F.col("Sold_n")).alias("AvgSTR"), F.col("Held_n").alias("TotalAuctioned")).filter(
+        F.col("TotalAuctioned") >= P.min_listings)
+
+
+add("seller_portfolio_quality_rolled", f"SellerCode {_RATE}", "seller_rate")(_rolled_rates)
+
+# ---- one commit for history and current set ------------------------------------------------------
+
+
+def _committed(wh):
+    root = f"{shared_dir(wh.spark)}/published-{uuid.uuid4().hex}"
+    final = settle(_final(wh))
+    late = commits.stage(final, root, 1)  # a writer that comes second with an earlier run
+    commits.publish(final.limit(0), root, 2)
+    commits.publish(final, root, 2)
+    commits.commit(wh.spark, late)
+    return root
+
+
+add("publish_committed_history", f"{K} RunId:i MostRecentData:i AuctionDaySalePrediction:7", "history_table")(
+    lambda wh: commits.read_history(wh.spark, _committed(wh)))
+add("publish_committed_current", f"{K} MostRecentData:i AuctionDaySalePrediction:7 Negative1", "current_table")(
+    lambda wh: commits.read_current(wh.spark, _committed(wh)))
+
+# ---- delimited files ------------------------------------------------------------------------------
+
+_EXTRACT = (*LISTING_KEY, "AuctionDate", "Reserve", "BPO", "PropertyState", "SellerName", "PropertyCity")
+
+
+def _folder(wh):
+    return f"{shared_dir(wh.spark)}/files-{uuid.uuid4().hex}"
+
+
+def _extract_file(wh):
+    """The extract of a run goes to a file that carries its date; it is found by that date and read back."""
+    folder = _folder(wh)
+    publish.write_csv(training(wh).withColumn("AuctionDate", F.col("AuctionDate").cast("date")), f"{folder}/UnifiedPredictionData_{P.as_of:%Y-%m-%d}.csv", _EXTRACT)
+    rows = files.read_feature_csv(wh.spark, folder, P.as_of, _EXTRACT)
+    return rows.withColumns({c: number(F.col(c)) for c in (*LISTING_KEY, "Reserve", "BPO")})
+
+
+_FILE_SPEC = f"{K} AuctionDate:d Reserve:6 BPO:6 PropertyState SellerName PropertyCity"
+_FILE_SQL = """SELECT PropertyId, AuctionId, VenueId, AuctionDate, Reserve, BPO, coalesce(PropertyState, 'NA') AS PropertyState,
+  coalesce(SellerName, 'NA') AS SellerName, coalesce(PropertyCity, 'NA') AS PropertyCity FROM feature"""
+add("csv_feature_extract", _FILE_SPEC, _FILE_SQL)(_extract_file)
+
+
+def _second_file(wh):
+    """The second population's own file: read as text, made numeric, rows without a reserve dropped."""
+    path = f"{_folder(wh)}/second.csv"
+    columns = [c for c in training(wh).columns if c not in ("AuctionDate",)]
+    publish.write_csv(_gappy(wh), path, columns)
+    text = {c for c, kind in training(wh).dtypes if kind == "string"}
+    return impute.second_population(files.read_second_population(wh.spark, path, columns), [c for c in columns if c not in text])
+
+
+add("csv_second_population", f"{K} Reserve:6 Turnover:8 TotalHomesForSale:8 Vacancy:6",
+    "SELECT PropertyId, AuctionId, VenueId, Reserve, Turnover, TotalHomesForSale, Vacancy FROM gappy WHERE Reserve IS NOT NULL")(_second_file)
+
+
+def _estimate_files(wh):
+    """Three headerless files, stacked by a pattern."""
+    folder = _folder(wh)
+    text = F.when(F.col("page_id") % 9 == 0, "NULL").when(F.col("page_id") % 10 == 0, "0").otherwise((F.col("page_id") * 1000).cast("string"))
+    pages = wh["pages"].select("page_id", F.lit("2001-05-01").alias("Date"), F.col("url").alias("URL"), text.alias("Estimate"))
+    for k in range(3):
+        pages.filter(F.col("page_id") % 3 == k).drop("page_id").write.csv(f"{folder}/estimates_{k}")
+    return impute.external_estimates(files.read_estimates(wh.spark, f"{folder}/estimates_*"), r"/(\d+)")
+
+
+add("csv_estimates", "GlobalPropertyId:i ExternalEstimate:6", "estimate")(_estimate_files)
+
+
+def _accounted(wh):
+    """Good and broken records of two files: what is read, kept and put aside, per reason."""
+    folder = _folder(wh)
+    lines = training(wh).select(F.concat_ws(",", *[F.col(c).cast("string") for c in LISTING_KEY], F.coalesce(F.col("Reserve").cast("string"), F.lit("NULL")),
+                                            F.when(F.col("PropertyId") % 11 == 0, F.lit("one,too many")).otherwise("fits")).alias("value"), "PropertyId")
+    lines = lines.withColumn("value", F.when(F.col("PropertyId") % 13 == 0, F.regexp_replace("value", "^[0-9]+", "x")).otherwise(F.col("value")))
+    for k in range(2):
+        lines.filter(F.col("PropertyId") % 2 == k).select("value").write.text(f"{folder}/part_{k}")
+    rows, bad, counts = files.read_accounted(wh.spark, f"{folder}/part_*", [*LISTING_KEY, "Reserve", "Note"], False, [*LISTING_KEY, "Reserve"])
+    files.write_quarantine(bad, f"{folder}/quarantine")
+    aside = wh.spark.read.parquet(f"{folder}/quarantine").groupBy("reason").agg(F.count("*").alias("Rows"), F.lit(0.0).alias("Reserve"))
+    kept = rows.agg(F.count("*").alias("Rows"), F.sum("Reserve").alias("Reserve")).withColumn("reason", F.lit("kept"))
+    read = counts.agg(F.sum("read").alias("Rows")).withColumns({"reason": F.lit("read"), "Reserve": F.lit(0.0)})
+    return kept.unionByName(aside).unionByName(read)
+
+
+add("csv_accounted", "reason Rows:i Reserve:2", """
+  SELECT CASE WHEN PropertyId % 11 = 0 THEN 'another number of fields' WHEN PropertyId % 13 = 0 THEN 'PropertyId is no number' ELSE 'kept' END AS reason,
+         count(*) AS Rows, sum(CASE WHEN PropertyId % 11 = 0 OR PropertyId % 13 = 0 THEN 0 ELSE coalesce(Reserve, 0) END) AS Reserve
+  FROM feature GROUP BY 1 UNION ALL SELECT 'read', count(*), 0 FROM feature""")(_accounted)
+
+
+def _coefficient_files(wh):
+    path = f"{_folder(wh)}/coefficients"
+    long = [scoring.coefficients_long(_coefficients(wh)[n], n, tt.MODELS[n].terms) for n in ("auction_day_sale", "high_bid")]
+    files.write_coefficients(long[0].unionByName(long[1]), path)
+    return scoring.coefficients_wide(wh.spark.read.parquet(f"{path}/model=high_bid"), sf.PRICE_TERMS)
+
+
+add("coefficient_files", "PropertyState Intercept:9 " + " ".join(f"{t}:9" for t in sf.PRICE_TERMS), tt.coefficient_select("high_bid"))(_coefficient_files)
+
+# ---- parts of the training line --------------------------------------------------------------------
+
+add("prepared_rows", f"{K} {_FILL} BPO:6 BPOSurplus:6 IsPredictedBPO:i ExternalEstimate:2 IsSubjectToApproval:i SellerName PropertyCity", "prepared")(
+    lambda wh: train.prepare(training(wh), train.REO, P))
+add("prepared_trustee_rows", f"{K} HighBid:6 BPOSurplus:6 IsPredictedBPO:i TrusteeName", "prepared_trustee")(
+    lambda wh: train.prepare(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), train.TRUSTEE, P))
+add("state_repair_trustee", f"{K} {_REPAIR}", "repaired_trustee")(_fit_trustee_rows)
+
+
+def _predicted(wh):
+    long = scoring.coefficients_long(_coefficients(wh)["auction_day_sale"], "sale", tt.MODELS["auction_day_sale"].terms)
+    return train.predict(training(wh), long, "sale", tt.MODELS["auction_day_sale"].terms, "AuctionDaySalePrediction", sf.logistic)
+
+
+_Z = " + ".join(f"c.{t} * {' * '.join(f'a.{x}' for x in t.split(TIMES))}" for t in tt.MODELS["auction_day_sale"].terms)
+add("predict_from_long_table", f"{K} AuctionDaySalePrediction:7", f"""
+  SELECT a.PropertyId, a.AuctionId, a.VenueId, 1 / (1 + exp(-(c.Intercept + {_Z}))) AS AuctionDaySalePrediction
+  FROM feature a JOIN coef_auction_day_sale c ON a.PropertyState = c.PropertyState""")(_predicted)

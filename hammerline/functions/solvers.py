@@ -80,9 +80,9 @@ def _standard(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def cross_validated_penalty(folds: np.ndarray, ridge_share: float = 1e-5) -> tuple[float, float, float]:
-    """(penalty, mean squared error) with the smallest held-out error of a lasso path, and the end of the near-ridge path.
+    """(penalty, mean squared error) with the smallest held-out error of a lasso path, and the end of the path whose lasso part is ``ridge_share``.
 
-    A near-ridge model is known along its own path only: a smaller penalty than the last of that path counts as the last.
+    A model of another mix is known along its own path only: a smaller penalty than the last of that path counts as the last.
 
     ``folds`` is (k, m, m): one moment matrix per fold over (1, features, target).
     """
@@ -111,8 +111,60 @@ def cross_validated_penalty(folds: np.ndarray, ridge_share: float = 1e-5) -> tup
     return *best, float(penalty_path(cross, n, ridge_share)[-1])
 
 
+def path_top(folds: np.ndarray, share: float) -> float:
+    """The penalty at which the path of a mix begins, where no slope is left."""
+    n, _, cov = centred(folds.sum(axis=0))
+    return float(penalty_path(_standard(cov)[1], n, share)[0])
+
+
 def newton_step(hessian: np.ndarray, gradient: np.ndarray, beta: np.ndarray, n: float, lam: float) -> np.ndarray:
     """One ridge-logistic update; the intercept (first) is not penalised."""
     penalty = np.full(len(beta), lam)
     penalty[0] = 1e-9
     return beta + np.linalg.solve(hessian / n + np.diag(penalty), gradient / n - penalty * beta)
+
+
+def elastic_net_exact(gram: np.ndarray, cross: np.ndarray, lam: float, share: float, start: np.ndarray, most: int = 100) -> np.ndarray:
+    """The elastic net of one problem by solving for the signs: with them known it is a linear system.
+
+    Slopes whose sign turns leave, slopes whose pull exceeds the lasso part come in, until both conditions of the optimum hold. If signs still
+    change after ``most`` rounds, coordinate descent finishes.
+    """
+    ridge, lasso = lam * (1 - share), lam * share
+    p = len(cross)
+    usable = np.diag(gram) > 1e-12
+    system = gram + np.diag(np.full(p, ridge))
+    beta, signs = np.zeros(p), np.where(usable, np.sign(start), 0.0)
+    if not signs.any():
+        signs = np.where(usable & (np.abs(cross) > lasso), np.sign(cross), 0.0)
+    for _ in range(most):
+        inside = np.flatnonzero(signs)
+        beta = np.zeros(p)
+        if len(inside):
+            beta[inside] = np.linalg.lstsq(system[np.ix_(inside, inside)], cross[inside] - lasso * signs[inside], rcond=None)[0]
+        turned = (signs != 0) & (np.sign(beta) != signs)
+        pull = cross - gram @ beta
+        wanted = usable & (signs == 0) & (np.abs(pull) > lasso * (1 + 1e-9) + 1e-15)
+        if not turned.any() and not wanted.any():
+            return beta
+        signs = np.where(turned, 0.0, np.where(wanted & ~turned.any(), np.sign(pull), signs))
+    variance = float(np.abs(np.diag(gram)).max(initial=0.0))
+    return elastic_net(gram[:, :, None], cross[:, None], lam, share, 1e-16 * max(variance, 1e-12), start[:, None])[:, 0]
+
+
+def net_penalty(slopes: np.ndarray, lam: float, share: float) -> float:
+    return lam * float(share * np.abs(slopes).sum() + (1 - share) / 2 * (slopes * slopes).sum())
+
+
+def proximal_step(hessian: np.ndarray, gradient: np.ndarray, beta: np.ndarray, lam: float, share: float) -> np.ndarray:
+    """The optimum of the loss's quadratic model at ``beta`` under an elastic net; the intercept (first) is not penalised.
+
+    ``hessian`` and ``gradient`` (of the log likelihood) are means over the rows. The intercept is profiled out, which leaves
+    a problem in the slopes.
+    """
+    top = max(hessian[0, 0], 1e-12)
+    side = hessian[0, 1:]
+    gram = hessian[1:, 1:] - np.outer(side, side) / top
+    cross = gradient[1:] - side * gradient[0] / top + gram @ beta[1:]
+    slopes = elastic_net_exact(gram, cross, lam, share, beta[1:])
+    return np.concatenate([[beta[0] + (gradient[0] - side @ (slopes - beta[1:])) / top], slopes])

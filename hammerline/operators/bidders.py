@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.functions.columns import first_positive, ratio
+from hammerline.functions.exact import exact_avg, exact_sum
 from hammerline.params import Params
 
 # Approval buckets that count as an approved registrant.
@@ -57,25 +58,25 @@ def bidder_history(
 
 
 def bidder_budget(history: DataFrame) -> DataFrame:
-    """What each e-mail bids on and how much of the reserve it offers."""
+    """What each e-mail bids on and how much of the reserve it offers; means are the same for every order of rows."""
     reserve = F.when(F.col("Reserve") < 1, F.coalesce("MaxBid", "StartingBid")).otherwise(F.col("Reserve"))
 
     def over(name: str, condition) -> Column:
-        return F.avg(F.when(condition, F.col(name)))
+        return exact_avg(F.when(condition, F.col(name)))
 
     return history.groupBy("bidderemail").agg(
         F.count_distinct("PropertyId").alias("AssetsBidUpon"),
-        F.avg("MaxBid").alias("AvgMaxBid"),
-        F.avg(F.col("Winner").cast("double")).alias("AvgWinRate"),
-        F.avg(F.when(F.col("MaxBid") > F.col("WinningBid"), 1.0).otherwise(0.0)).alias("FallOutRate"),
-        F.avg(ratio(F.col("MaxBid"), reserve)).alias("AvgMaxBidAsShareOfReserve"),
-        F.avg("StartingBid").alias("AvgStartingBid"),
-        F.avg("Reserve").alias("AvgReserve"),
+        exact_avg(F.col("MaxBid")).alias("AvgMaxBid"),
+        exact_avg(F.col("Winner")).alias("AvgWinRate"),
+        exact_avg(F.when(F.col("MaxBid") > F.col("WinningBid"), 1.0).otherwise(0.0)).alias("FallOutRate"),
+        exact_avg(ratio(F.col("MaxBid"), reserve)).alias("AvgMaxBidAsShareOfReserve"),
+        exact_avg(F.col("StartingBid")).alias("AvgStartingBid"),
+        exact_avg(F.col("Reserve")).alias("AvgReserve"),
         over("beds", F.col("beds") >= 0).alias("avgBeds"),
         over("baths", F.col("baths") >= 0).alias("avgBaths"),
         over("lotsize", F.col("lotsize") >= 0).alias("avgLotSize"),
         over("yearbuilt", F.col("yearbuilt") > 1500).alias("AvgYearBuilt"),
-        F.avg("BPO").alias("AvgBPO"),
+        exact_avg(F.col("BPO")).alias("AvgBPO"),
     )
 
 
@@ -151,6 +152,6 @@ def registrant_score(matches: DataFrame) -> DataFrame:
     times = F.col("Registrations")
     return matches.groupBy("PropertyId", "VenueId", "AuctionId").agg(
         F.count_distinct("bidderemail").alias("ALRRegistrants"),
-        F.sum(F.col("NaturalScore") * times).alias("IntrinsicBidderQuality"),
-        F.sum(F.col("BidderScore") * times).alias("TotalRegistrantScore"),
+        exact_sum(F.col("NaturalScore") * times).alias("IntrinsicBidderQuality"),
+        exact_sum(F.col("BidderScore") * times).alias("TotalRegistrantScore"),
     )

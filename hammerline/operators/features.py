@@ -134,11 +134,15 @@ def market_levels(prefix: str = "") -> dict[str, Column]:
     return out
 
 
-def join_market(df: DataFrame, market: DataFrame, postal: DataFrame) -> DataFrame:
+def join_market(df: DataFrame, market: DataFrame, postal: DataFrame, since: Column | None = None) -> DataFrame:
     """Monthly market metrics and postal vacancy as of each listing's month.
 
-    ``df`` carries PropertyZip, MarketMonth and PostalMonth; every other column passes through.
+    ``df`` carries PropertyZip, MarketMonth and PostalMonth; every other column passes through. With ``since``, a day before which
+    no listing lies, the scans read that month's metrics and later ones only: whole partitions of tables that are partitioned by month.
     """
+    if since is not None:
+        market = market.filter(F.col("Date") >= F.trunc(since, "MM"))
+        postal = postal.filter(F.col("Date") >= F.year(since) * 100 + F.month(since))
     levels = market.select("PropertyZip", F.col("Date").alias("MarketMonth"),
                            *[c.alias(n) for n, c in market_levels().items()])
     vacancy = postal.select(F.col("ZIP").alias("PropertyZip"), F.col("Date").alias("PostalMonth"),

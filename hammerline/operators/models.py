@@ -2,7 +2,8 @@
 
 Rows are reduced to moment matrices inside the tasks that read them; only those p x p sums are
 shuffled, and the per-state solve sees a group of a few thousand matrix cells. No group of rows is
-ever gathered, so a state holding a third of the listings is an ordinary case.
+ever gathered, so a state holding a third of the listings is an ordinary case. The sums are whole numbers
+(``functions.exact``), so that moments and least squares are the same bit for bit however rows are ordered or partitioned.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hammerline.functions import solvers
 from hammerline.functions.columns import all_present, ratio, same_key
+from hammerline.functions.exact import Gram, joined, scale_of
 from hammerline.functions.ranking import medians, quantiles
 from hammerline.functions.scoring import (
     CONDITIONS, LEVELS, OCCUPANCY, PRICE_TERMS, SALE_TERMS, TIMES, TRUSTEE_PRICE_TERMS, TRUSTEE_TERMS,
@@ -74,15 +76,14 @@ def design(df: DataFrame, terms: Sequence[str], targets: Sequence[str], folds: i
     rows = df.filter(F.col(STATE).isNotNull()).select(
         STATE, listing_fold(folds).alias("_fold"), *[F.col(t).cast("double").alias(f"y_{t}") for t in targets], *picked)
     rows = settle(rows.filter(all_present([*terms, *[f"y_{t}" for t in targets]])))
-    stats = settle(rows.groupBy(STATE).agg(
-        *[F.struct(F.avg(t).alias("mean"), F.stddev_pop(t).alias("sd")).alias(f"s_{t}") for t in terms]))
-    joined = rows.join(stats, STATE)
+    stats = settle(_means_and_deviations(rows, terms))
+    met = rows.join(stats, STATE)
     scaled = [
         F.coalesce(ratio(F.col(t) - F.col(f"s_{t}.mean"), F.when(F.col(f"s_{t}.sd") > 1e-12, F.col(f"s_{t}.sd"))),
                    F.lit(0.0)).alias(t)
         for t in terms
     ]
-    standard = joined.select(STATE, "_fold", *[f"y_{t}" for t in targets], *scaled)
+    standard = met.select(STATE, "_fold", *[f"y_{t}" for t in targets], *scaled)
     cells = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("i"), F.lit(j).alias("j"), F.col(f"s_{t}.{part}").alias("v"))
         for j, t in enumerate(terms) for kind, part in ((-1, "mean"), (-2, "sd"))
@@ -90,23 +91,66 @@ def design(df: DataFrame, terms: Sequence[str], targets: Sequence[str], folds: i
     return standard, stats.select(STATE, cells).select(STATE, F.lit(-1).alias("_fold"), "c.i", "c.j", "c.v")
 
 
+PARTS = "high bigint, middle bigint, low bigint"
+
+
+def _scales(rows: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """A power of two for each column that brings its largest value near the top of the exact grid; one row comes to the driver."""
+    most = rows.agg(*[F.max(F.abs(F.col(c))) for c in columns]).first()
+    return np.array([scale_of(m or 0.0) for m in most])
+
+
+def _means_and_deviations(rows: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """(state, s_<term> struct(mean, sd)) of every term; the sums behind them are exact."""
+    scale, p = _scales(rows, terms), len(terms)
+
+    def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, Gram] = {}
+        for pdf in batches:
+            for state, part in pdf.groupby(STATE, sort=False):
+                x = part[list(terms)].to_numpy(float) * scale
+                one = np.ones((len(x), 1))
+                sums.setdefault(state, Gram()).add(one, np.column_stack([one, x, x * x * 2.0**-20]))
+        power = np.concatenate([[1.0], 1 / scale, 2.0**20 / scale**2])
+        for state, s in sums.items():
+            high, middle, low = (part[0] for part in s.parts())
+            yield pd.DataFrame({STATE: state, "i": 0, "j": np.arange(2 * p + 1), "high": high, "middle": middle, "low": low, "power": power})
+
+    cells = _summed(rows.select(STATE, *terms).mapInPandas(reduce_batches, f"{STATE} string, i int, j int, {PARTS}, power double"), STATE)
+    held = settle(cells.groupBy(STATE).agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "v"))), lambda c: c["v"]).alias("v")))
+    out = []
+    for k, t in enumerate(terms):
+        n, total, square = F.col("v")[0], F.col("v")[k + 1], F.col("v")[p + k + 1]
+        spread = square / n - (total / n) * (total / n)
+        # a column whose values differ by less than its own rounding has no deviation
+        sd = F.when(spread > (total / n) * (total / n) * 1e-14, F.sqrt(F.greatest(spread, F.lit(0.0)))).otherwise(0.0)
+        out.append(F.struct((total / n).alias("mean"), sd.alias("sd")).alias(f"s_{t}"))
+    return held.select(STATE, *out)
+
+
+def _summed(cells: DataFrame, *key: str) -> DataFrame:
+    """Cells (key, i, j, parts, power) of all tasks added up; ``power`` undoes the scale of the columns."""
+    total = joined(*[F.sum(c) for c in ("high", "middle", "low")]) * F.max("power")
+    return cells.groupBy(*key, "i", "j").agg(total.alias("v"))
+
+
 def moments(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """Sums of products over (1, terms, targets) as (state, fold, i, j, v) cells, upper triangle."""
     columns = [*terms, *[f"y_{t}" for t in targets]]
+    scale = np.concatenate([[1.0], _scales(standard, columns)])
 
     def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, np.ndarray] = {}
+        sums: dict[tuple, Gram] = {}
         for pdf in batches:
             for key, part in pdf.groupby([STATE, "_fold"], sort=False):
-                x = np.column_stack([np.ones(len(part)), part[columns].to_numpy(float)])
-                sums[key] = sums.get(key, 0.0) + x.T @ x
+                sums.setdefault(key, Gram()).add(np.column_stack([np.ones(len(part)), part[columns].to_numpy(float)]) * scale)
         for (state, fold), s in sums.items():
-            i, j = np.triu_indices(len(s))
-            yield pd.DataFrame({STATE: state, "_fold": fold, "i": i, "j": j, "v": s[i, j]})
+            i, j = np.triu_indices(len(scale))
+            high, middle, low = (p[i, j] for p in s.parts())
+            yield pd.DataFrame({STATE: state, "_fold": fold, "i": i, "j": j, "high": high, "middle": middle, "low": low, "power": 1 / (scale[i] * scale[j])})
 
-    schema = f"{STATE} string, _fold int, i int, j int, v double"
-    partial = standard.select(STATE, "_fold", *columns).mapInPandas(reduce_batches, schema)
-    return partial.groupBy(STATE, "_fold", "i", "j").agg(F.sum("v").alias("v"))
+    schema = f"{STATE} string, _fold int, i int, j int, {PARTS}, power double"
+    return _summed(standard.select(STATE, "_fold", *columns).mapInPandas(reduce_batches, schema), STATE, "_fold")
 
 
 def _by_state(cells: DataFrame, solve, schema: str, *key: str) -> DataFrame:
@@ -168,15 +212,27 @@ def ols_per_state(df: DataFrame, terms: Sequence[str], target: str, model: str =
 def elastic_net_price(df: DataFrame, terms: Sequence[str], target: str, model: str = "high_bid",
                       alpha: float = 0.005) -> DataFrame:
     """Elastic net on unscaled terms at the last penalty of its path."""
+    return elastic_net_price_fits(df, terms, target, model, alpha).filter(F.col("term") != PENALTY)
+
+
+PENALTY = "(penalty)"
+
+
+def elastic_net_price_fits(df: DataFrame, terms: Sequence[str], target: str, model: str = "high_bid", alpha: float = 0.005) -> DataFrame:
+    """As ``elastic_net_price``, with the penalty of every state as one more row."""
     standard, stats = design(df, terms, [target])
+    names = ["Intercept", *terms, PENALTY]
 
-    def solve(folds, mean, sd):
+    def one_state(pdf: pd.DataFrame) -> pd.DataFrame:
+        folds, mean, sd = _unpack(pdf, len(terms))
         n, m, cov = solvers.centred(folds.sum(axis=0))
         gram, cross = cov[:-1, :-1] * np.outer(sd, sd), cov[:-1, -1] * sd
-        slope = solvers.fit_path(gram, cross, cov[-1, -1], n, alpha)[1][-1]
-        return np.concatenate([[m[-1] - slope @ mean - (slope * sd) @ m[:-1]], slope])
+        path, slopes = solvers.fit_path(gram, cross, cov[-1, -1], n, alpha)
+        slope = solvers.elastic_net_exact(gram, cross, float(path[-1]), alpha, slopes[-1])  # the path stops short of the last digits
+        values = [m[-1] - slope @ mean - (slope * sd) @ m[:-1], *slope, path[-1]]
+        return pd.DataFrame({STATE: pdf[STATE].iloc[0], "model": model, "term": names, "value": values})
 
-    return _solve_states(moments(standard, terms, [target]).unionByName(stats), terms, model, solve)
+    return _by_state(moments(standard, terms, [target]).unionByName(stats), one_state, _COEF_SCHEMA)
 
 
 def lambda_by_cv(df: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
@@ -185,7 +241,7 @@ def lambda_by_cv(df: DataFrame, terms: Sequence[str], targets: Sequence[str]) ->
     return _lambda(standard, terms, targets)
 
 
-def _lambda(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -> DataFrame:
+def _lambda(standard: DataFrame, terms: Sequence[str], targets: Sequence[str], share: float = 1e-5) -> DataFrame:
     p, targets = len(terms), list(targets)
 
     def one_state(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -193,10 +249,11 @@ def _lambda(standard: DataFrame, terms: Sequence[str], targets: Sequence[str]) -
         rows = []
         for t, target in enumerate(targets):
             own = [*range(p + 1), p + 1 + t]
-            rows.append((pdf[STATE].iloc[0], target, *solvers.cross_validated_penalty(folds[:, own][:, :, own])))
-        return pd.DataFrame(rows, columns=[STATE, "label", "lambda", "loss", "path_end"])
+            mine = folds[:, own][:, :, own]
+            rows.append((pdf[STATE].iloc[0], target, *solvers.cross_validated_penalty(mine, share), solvers.path_top(mine, share)))
+        return pd.DataFrame(rows, columns=[STATE, "label", "lambda", "loss", "path_end", "path_top"])
 
-    schema = f"{STATE} string, label string, lambda double, loss double, path_end double"
+    schema = f"{STATE} string, label string, lambda double, loss double, path_end double, path_top double"
     return _by_state(moments(standard, terms, targets), one_state, schema)
 
 
@@ -235,91 +292,116 @@ def shortfall() -> Column:
 CONVERGED, ONE_CLASS, RUNNING, STOPPED = "converged", "one class", "running", "not converged"
 
 
+LASSO_SHARE = 1e-5  # of the penalty of the sale models
+STEPS = 4  # penalties a fit passes on its way down to its own
+TABLE = f"{STATE} string, label string, penalty double, path array<double>, step int, beta array<double>, kept array<double>, loss double, status string, passes int"
+
+
 def ridge_logistic(df: DataFrame, terms: Sequence[str], labels: Sequence[str], floor: float = 1e-4,
                    tol: float = 1e-6, most: int = 100) -> DataFrame:
-    """Ridge logistic regression of every label in every state: (state, model, term, value), see ``ridge_logistic_fits``."""
+    """Logistic regression of every label in every state: (state, model, term, value), see ``ridge_logistic_fits``."""
     return ridge_logistic_fits(df, terms, labels, floor, tol, most).select(STATE, "model", "term", "value")
 
 
-def ridge_logistic_fits(df: DataFrame, terms: Sequence[str], labels: Sequence[str], floor: float = 1e-4,
-                        tol: float = 1e-6, most: int = 100) -> DataFrame:
-    """Ridge logistic regression of every label in every state, with ``status``, ``passes`` and ``penalty`` of each fit.
+def ridge_logistic_fits(df: DataFrame, terms: Sequence[str], labels: Sequence[str], floor: float = 1e-4, tol: float = 1e-6,
+                        most: int = 100, share: float = LASSO_SHARE, penalty: float | None = None, steps: int = STEPS) -> DataFrame:
+    """Elastic-net logistic regression of every label in every state, with ``status``, ``passes`` and ``penalty`` of each fit.
 
-    The penalty of a (state, label) is its cross-validated lasso penalty, never below the end of the near-ridge
-    path nor below ``floor``. The near-zero lasso share of the original mix is dropped. Each pass over the rows is a
-    Newton step of all fits that still move; coefficients stay in a small settled frame that the rows are joined with, and
-    only how many fits still move comes back. A state with one class of a label has no finite optimum: it gets the
-    smoothed share of its class and no slopes. A fit that still moves after ``most`` passes says so in its status.
+    ``share`` of the penalty is lasso, the rest ridge. The penalty of a (state, label) is its cross-validated lasso penalty, never
+    below the end of the path of its own mix nor below ``floor``; or ``penalty`` for all. A fit starts at the penalty that
+    leaves no slope and goes down to its own in ``steps`` even ratios, each from the solution before. Each pass over the rows is one
+    proximal Newton step of all fits that still move: tasks sum the weighted moments, and the quadratic problem with its penalty is
+    solved by coordinate descent on the p x p matrix. A step that raises the penalised loss is halved.
+    Coefficients stay in a small settled frame that the rows are joined with; only whether fits still move comes back. A state with one
+    class of a label has no finite optimum: it gets the smoothed share of its class and no slopes. A fit that still moves after ``most``
+    passes says so in its status.
     """
     standard, stats = design(df, terms, labels)
     size = len(terms) + 1
     tally = standard.groupBy(STATE).agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(f"ones_{x}") for x in labels])
     tally = tally.select(STATE, F.col("n").cast("double").alias("n"), F.explode(F.array(*[
         F.struct(F.lit(x).alias("label"), F.col(f"ones_{x}").alias("ones")) for x in labels])).alias("c")).select(STATE, "n", "c.*")
-    lam = _lambda(standard, terms, labels).select(STATE, "label", F.greatest("lambda", "path_end", F.lit(floor)).alias("penalty"))
+    lam = _lambda(standard, terms, labels, share)
+    own = F.lit(float(penalty)) if penalty is not None else F.greatest("lambda", "path_end", F.lit(floor))
+    lam = lam.select(STATE, "label", own.alias("penalty"), "path_top")
     mixed = (F.col("ones") > 0) & (F.col("ones") < F.col("n"))
-    prior = F.when(mixed, 0.0).otherwise(F.log((F.col("ones") + 0.5) / (F.col("n") - F.col("ones") + 0.5)))
+    prior = F.log(ratio(F.col("ones") + F.when(mixed, 0.0).otherwise(0.5), F.col("n") - F.col("ones") + F.when(mixed, 0.0).otherwise(0.5)))
+    drop = F.col("path_top") / F.col("penalty")
+    path = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda k: F.when(k == steps, F.col("penalty")).otherwise(
+        F.col("penalty") * F.pow(drop, 1 - k / steps)))
+    start = F.concat(F.array(prior), F.array_repeat(F.lit(0.0), size - 1))
     fits = settle(tally.join(lam, [STATE, "label"]).select(
-        STATE, "label", "penalty", F.concat(F.array(prior), F.array_repeat(F.lit(0.0), size - 1)).alias("beta"),
+        STATE, "label", "penalty", F.when(drop > 1, path).otherwise(F.array("penalty")).alias("path"), F.lit(0).alias("step"),
+        start.alias("beta"), start.alias("kept"), F.lit(float("inf")).alias("loss"),
         F.when(mixed, RUNNING).otherwise(ONE_CLASS).alias("status"), F.lit(0).alias("passes")))
     for k in range(1, most + 1):
         if not fits.filter(F.col("status") == RUNNING).limit(1).count():
             break
-        moved = _newton_pass(standard, terms, labels, fits.filter(F.col("status") == RUNNING))
-        now = F.when(F.col("moved") < tol, CONVERGED).when(F.lit(k == most), STOPPED).otherwise(RUNNING)
-        fits = settle(moved.select(STATE, "label", "penalty", "beta", now.alias("status"), F.lit(k).alias("passes")).unionByName(
-            fits.filter(F.col("status") != RUNNING)))
+        moved = _newton_pass(standard, terms, labels, fits.filter(F.col("status") == RUNNING), share, tol, k == most)
+        fits = settle(moved.unionByName(fits.filter(F.col("status") != RUNNING)))
     return _to_raw(fits, stats, terms)
 
 
-def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str], fits: DataFrame) -> DataFrame:
-    """(state, label, penalty, beta, moved) of ``fits`` after one step."""
+def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str], fits: DataFrame, share: float, tol: float, last: bool) -> DataFrame:
+    """``fits`` after one step."""
     size = len(terms) + 1
     columns = list(terms)
     betas = fits.groupBy(STATE).agg(F.map_from_entries(F.collect_list(F.struct("label", "beta"))).alias("_beta"))
 
     def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, np.ndarray] = {}
+        # columns of b: weighted terms, residual and loss of a row; of a: 1 and terms
+        sums: dict[tuple, Gram] = {}
         for pdf in batches:
             for state, part in pdf.groupby(STATE, sort=False):
                 x = np.column_stack([np.ones(len(part)), part[columns].to_numpy(float)])
                 for label, b in dict(part["_beta"].iloc[0]).items():
-                    prob = 1 / (1 + np.exp(-np.clip(x @ np.asarray(b, dtype=float), -30, 30)))
-                    weighted = x * (prob * (1 - prob))[:, None]
-                    block = np.zeros((size + 1, size))
-                    block[:size] = x.T @ weighted
-                    block[size] = x.T @ (part[f"y_{label}"].to_numpy(float) - prob)
-                    had = sums.get((state, label))
-                    rows = len(part) if had is None else had[1] + len(part)
-                    sums[(state, label)] = (block if had is None else had[0] + block, rows)
-        for (state, label), (s, rows) in sums.items():
-            i, j = np.triu_indices(size)
-            yield pd.DataFrame({
-                STATE: state, "label": label,
-                "i": np.concatenate([i, np.full(size, size), [size + 1]]),
-                "j": np.concatenate([j, np.arange(size), [0]]),
-                "v": np.concatenate([s[i, j], s[size], [float(rows)]]),
-            })
-
-    def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        hessian = _matrix(pdf[(pdf["i"] >= 0) & (pdf["i"] < size)], size)
-        gradient, beta = np.zeros(size), np.zeros(size)
-        for kind, out in ((size, gradient), (-1, beta)):
-            part = pdf[pdf["i"] == kind]
-            out[part["j"].to_numpy()] = part["v"].to_numpy()
-        n, lam = (float(pdf[pdf["i"] == kind]["v"].iloc[0]) for kind in (size + 1, -2))
-        fresh = solvers.newton_step(hessian, gradient, beta, n, lam)
-        return pd.DataFrame({STATE: [pdf[STATE].iloc[0]], "label": [pdf["label"].iloc[0]], "penalty": [lam], "beta": [fresh],
-                             "moved": [float(np.abs(fresh - beta).max())]})
-
-    cells = (
+                    z = np.clip((x * np.asarray(b, dtype=float)).sum(axis=1), -700, 700)  # a row's sum does not depend on its neighbours
+                    y, prob = part[f"y_{label}"].to_numpy(float), 1 / (1 + np.exp(-z))
+                    right = np.column_stack([x * (prob * (1 - prob))[:, None], y - prob, np.logaddexp(0, z) - y * z, np.ones(len(x))])
+                    sums.setdefault((state, label), Gram()).add(x, right)
+        for (state, label), s in sums.items():
+            i, j = (m.ravel() for m in np.indices((size, size + 3)))
+            wanted = (i <= j) & (j < size) | (j == size) | (i == 0)
+            high, middle, low = (p[i[wanted], j[wanted]] for p in s.parts())
+            yield pd.DataFrame({STATE: state, "label": label, "i": i[wanted], "j": j[wanted], "high": high, "middle": middle, "low": low, "power": 1.0})
+
+    def step(key: tuple, cells: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros((size, size + 3))
+        held[cells["i"].to_numpy(), cells["j"].to_numpy()] = cells["v"].to_numpy()
+        row = fit.iloc[0].copy()
+        n = held[0, size + 2]
+        hessian, gradient, loss = np.triu(held[:, :size]), held[:, size] / n, held[0, size + 1] / n
+        hessian = (hessian + hessian.T - np.diag(np.diag(hessian))) / n
+        beta, kept = np.array(row["beta"], dtype=float), np.array(row["kept"], dtype=float)
+        lam = float(row["path"][row["step"]])
+        full = loss + solvers.net_penalty(beta[1:], lam, share)
+        row["passes"] += 1
+        if full > row["loss"] * (1 + 1e-12) + 1e-12:  # too far: half the way
+            fresh = (beta + kept) / 2
+            moved = np.inf
+        else:
+            row["kept"], row["loss"] = beta, full
+            fresh = solvers.proximal_step(hessian, gradient, beta, lam, share)
+            moved = float(np.abs(fresh - beta).max())
+        final = row["step"] == len(row["path"]) - 1
+        if moved < (tol if final else 1e-2):
+            if final:
+                row["status"] = CONVERGED
+            else:
+                row["step"] += 1
+                row["loss"] = np.inf  # another penalty has another loss
+        elif last:
+            row["status"] = STOPPED
+        row["beta"] = fresh
+        out = pd.DataFrame([row])
+        return out[[f.split()[0] for f in TABLE.split(", ")]]
+
+    cells = _summed(
         standard.select(STATE, *[f"y_{x}" for x in labels], *columns).join(betas, STATE)
-        .mapInPandas(reduce_batches, f"{STATE} string, label string, i int, j int, v double")
-        .groupBy(STATE, "label", "i", "j").agg(F.sum("v").alias("v"))
-    )
-    before = fits.select(STATE, "label", F.lit(-1).alias("i"), F.posexplode("beta").alias("j", "v")).unionByName(
-        fits.select(STATE, "label", F.lit(-2).alias("i"), F.lit(0).alias("j"), F.col("penalty").alias("v")))
-    return _by_state(cells.unionByName(before), step, f"{STATE} string, label string, penalty double, beta array<double>, moved double", "label")
+        .mapInPandas(reduce_batches, f"{STATE} string, label string, i int, j int, {PARTS}, power double"), STATE, "label")
+    spread = cells.sparkSession.sparkContext.defaultParallelism
+    key = [STATE, "label"]
+    return cells.repartition(spread, *key).groupBy(*key).cogroup(fits.repartition(spread, *key).groupBy(*key)).applyInPandas(step, TABLE)
 
 
 def _to_raw(fits: DataFrame, stats: DataFrame, terms: Sequence[str]) -> DataFrame:

@@ -7,10 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hammerline.functions.columns import flag, ratio
+from hammerline.functions.columns import flag, months_back, ratio
 from hammerline.operators import bidders, explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
-from hammerline.session import settle_all
+from hammerline.session import settle, settle_all
 
 Warehouse = Mapping[str, DataFrame]
 
@@ -20,6 +20,9 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
 
     ``scoring=False`` is the training extract (whole window); ``scoring=True`` keeps upcoming
     listings only, dates them by the end of bidding, and computes terciles and event sizes among them.
+
+    What a listing gets from other tables is gathered beside its keys, in narrow rows that are shuffled for every lookup. The wide
+    rows are numbered when they are written and meet the gathered columns once, by that number.
     """
     date_col = "BidEndDT" if scoring else "AuctionDate"
     recent = history.recent_listings(wh["fact_auction"], wh["dim_auction"], p, date_col)
@@ -29,29 +32,31 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
 
     lines = wh["dim_property"] if scoring else None
     core, zips, sellers = settle_all(
-        _core(chosen, wh, p, date_col, null_is_unknown=scoring),
+        _core(chosen, wh, p, date_col, null_is_unknown=scoring).withColumn("_row", F.monotonically_increasing_id()),
         history.zip_sell_through(ended, wh["dim_property"], p, product_lines=scoring),
         history.seller_portfolio(ended, wh["dim_seller"], p, lines),
     )
-    leveled = fx.event_sizes(fx.value_levels(core))
+    keys = core.select("_row", *LISTING_KEY, "PropertyState", "PropertyZip", "SellerCode", "AuctionCode", "Reserve", "MarketMonth", "PostalMonth")
+    leveled = fx.event_sizes(fx.value_levels(keys))
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
 
     key = list(LISTING_KEY)
     live_bids = history.only_for(wh["fact_bid_live"], core, key)
     marks_of = history.only_for(wh["fact_property_favorites"], core, list(favorite_key))
     bids = (history.high_bids_for_scoring if scoring else history.high_bids_for_training)(live_bids, p)
-    joined = (
+    sides = (
         leveled.join(bids.select(*key, "HighBid"), key, "left")
         .join(registrant_scores(wh, p, scoring, core, recent), key, "left")
         .join(history.favorites(marks_of, favorite_key)
               .withColumnRenamed("Favorites", "_marks"), list(favorite_key), "left")
     )
-    joined = fx.join_market(joined, wh["market_metrics"], wh["postal_vacancy"])
-    joined = (
-        joined.join(zips.select("PropertyState", "PropertyZip", F.col("AvgSTR").alias("_zip_rate")),
+    sides = fx.join_market(sides, wh["market_metrics"], wh["postal_vacancy"], months_back(p.as_of, p.window_months))
+    sides = (
+        sides.join(zips.select("PropertyState", "PropertyZip", F.col("AvgSTR").alias("_zip_rate")),
                     ["PropertyState", "PropertyZip"], "left")
         .join(sellers.select("SellerCode", F.col("AvgSTR").alias("_seller_rate")), "SellerCode", "left")
     )
+    joined = core.join(settle(sides.drop(*[c for c in keys.columns if c != "_row"])), "_row")
     met = flag(F.col("HighBid") >= F.col("Reserve"))
     runs = F.when(F.col("RunNum") < 1, 1).otherwise(F.col("RunNum"))
     marks = F.coalesce("_marks", F.lit(0))
@@ -66,7 +71,7 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
         "ALRRegistrants": F.coalesce("ALRRegistrants", F.lit(0)),
         "TotalRegistrantScore": F.coalesce("TotalRegistrantScore", F.lit(0.0)),
         "IntrinsicBidderQuality": F.coalesce("IntrinsicBidderQuality", F.lit(0.0)),
-    }).drop("_zip_rate", "_seller_rate", "_marks", "SubjToAccepted", "MarketMonth", "PostalMonth")
+    }).drop("_row", "_zip_rate", "_seller_rate", "_marks", "SubjToAccepted", "MarketMonth", "PostalMonth")
 
 
 def registrant_scores(wh: Warehouse, p: Params, scoring: bool, core: DataFrame, recent: DataFrame) -> DataFrame:

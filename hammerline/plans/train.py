@@ -66,7 +66,7 @@ TRUSTEE = Line(
 class Fitted:
     full: DataFrame                    # every scored listing with all its columns
     short: DataFrame
-    coefficients: DataFrame            # (PropertyState, model, term, value)
+    coefficients: DataFrame            # (PropertyState, model, term, value, status, passes, penalty): how each fit ended
     second: DataFrame | None = None    # the second population, scored by the same models
 
 
@@ -135,8 +135,8 @@ def fit_and_score(rows: DataFrame, line: Line, p: Params, estimates: DataFrame |
     if line.trustee:
         test = test.filter(F.col("IsAuction") == 1)
 
-    sale = settle(models.ridge_logistic(balanced(train, line), line.terms, list(line.labels)))
-    parts = [sale] + ([fits] if fits is not None else [])
+    sale = settle(models.ridge_logistic_fits(balanced(train, line), line.terms, list(line.labels)))
+    parts = [sale.select("PropertyState", "model", "term", "value", "status", "passes", "penalty")] + ([fits] if fits is not None else [])
     price = None
     if line.price_terms:
         bids = train.filter(F.col("HighBid").isNotNull())
@@ -145,7 +145,7 @@ def fit_and_score(rows: DataFrame, line: Line, p: Params, estimates: DataFrame |
         parts.append(price)
     coefficients = parts[0]
     for part in parts[1:]:
-        coefficients = coefficients.unionByName(part)
+        coefficients = coefficients.unionByName(part.withColumn("status", F.lit(models.CONVERGED)), allowMissingColumns=True)
 
     weights = sale.filter(F.col("model") == line.sale).select("PropertyState", "term", "value")
     if price is not None:

@@ -7,40 +7,43 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hammerline.functions.columns import flag, ratio
+from hammerline.functions.columns import flag, months_back, ratio
 from hammerline.operators import explain, features as fx, history, publish, scoring
 from hammerline.params import LISTING_KEY, Params
 from hammerline.plans.nontrustee import Warehouse
-from hammerline.session import settle_all
+from hammerline.session import settle, settle_all
 
 
 def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
+    """One wide row per trustee listing; as in the other line, lookups shuffle narrow rows and the wide ones meet them once."""
     recent = history.recent_listings(wh["fact_trustee_auction"], wh["dim_auction"], p)
     held = history.past(recent, p) if scoring else recent
     chosen = history.upcoming(recent, p) if scoring else recent
 
     core, zips, trustees = settle_all(
-        _core(chosen, wh, p),
+        _core(chosen, wh, p).withColumn("_row", F.monotonically_increasing_id()),
         history.trustee_zip_sell_through(held, wh["dim_property"], p),
         history.trustee_portfolio(held, wh["dim_trustee"], p),
     )
-    sized = fx.with_state_mean(core, "HomeSquareFootage", "_state_sqft")
+    keys = core.select("_row", *LISTING_KEY, "PropertyState", "PropertyZip", "TrusteeCode", "AuctionCode", "Reserve", "MarketMonth", "PostalMonth", "HomeSquareFootage")
+    sized = fx.with_state_mean(keys, "HomeSquareFootage", "_state_sqft")
     leveled = fx.event_sizes(fx.value_levels(sized))
 
     favorite_key = ("PropertyId", "AuctionId") if scoring else ("PropertyId",)
     marks_of = history.only_for(wh["fact_property_favorites"], core, list(favorite_key))
     past_runs = history.only_for(wh["fact_trustee_auction"], core, ["PropertyId"])
-    joined = (
+    sides = (
         leveled.join(history.brought_to_sale(past_runs), "PropertyId", "left")
         .join(history.favorites(marks_of, favorite_key)
               .withColumnRenamed("Favorites", "_marks"), list(favorite_key), "left")
     )
-    joined = fx.join_market(joined, wh["market_metrics"], wh["postal_vacancy"])
-    joined = (
-        joined.join(zips.select("PropertyState", "PropertyZip", F.col("AvgSTR").alias("_zip_rate")),
+    sides = fx.join_market(sides, wh["market_metrics"], wh["postal_vacancy"], months_back(p.as_of, p.window_months))
+    sides = (
+        sides.join(zips.select("PropertyState", "PropertyZip", F.col("AvgSTR").alias("_zip_rate")),
                     ["PropertyState", "PropertyZip"], "left")
         .join(trustees.select("TrusteeCode", F.col("AvgSTR").alias("_trustee_rate")), "TrusteeCode", "left")
     )
+    joined = core.join(settle(sides.drop(*[c for c in keys.columns if c != "_row"])), "_row")
     runs = F.when(F.coalesce("RunNum", F.lit(0)) == 0, 1).otherwise(F.col("RunNum"))
     marks = F.coalesce("_marks", F.lit(0))
     feet = F.when(F.col("HomeSquareFootage") < 10, F.col("_state_sqft")).otherwise(F.col("HomeSquareFootage"))
@@ -51,7 +54,7 @@ def feature_row(wh: Warehouse, p: Params, scoring: bool = False) -> DataFrame:
         "MedianPPSQFTDeviation": fx.ppsf_deviation(F.col("MedianPPSQFT"), F.col("Reserve"), feet),
         "Historical_Execution": F.coalesce("_zip_rate", F.lit(0.0)),
         "SellerPortfolioQuality": F.coalesce("_trustee_rate", F.lit(0.0)),
-    }).drop("_zip_rate", "_trustee_rate", "_marks", "_state_sqft", "MarketMonth", "PostalMonth")
+    }).drop("_row", "_zip_rate", "_trustee_rate", "_marks", "_state_sqft", "MarketMonth", "PostalMonth")
 
 
 def surplus_share(value, reserve, p: Params):
