@@ -74,5 +74,10 @@ def workspace(spark: SparkSession):
         yield folder
     finally:
         open_runs.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and what is in it; nothing happens if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
