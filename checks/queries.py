@@ -18,7 +18,7 @@ from hammerline.functions.scoring import TIMES, term_value
 from hammerline.functions.columns import number
 from hammerline.operators import bidders, commits, explain, features as fx, history, impute, models, publish, report, rolling, scoring
 from hammerline.params import LISTING_KEY, Params
-from hammerline.plans import nontrustee, train, trustee
+from hammerline.plans import jobs, nontrustee, train, trustee
 from hammerline.session import settle, shared_dir
 from hammerline.sources import files
 
@@ -774,3 +774,40 @@ _Z = " + ".join(f"c.{t} * {' * '.join(f'a.{x}' for x in t.split(TIMES))}" for t
 add("predict_from_long_table", f"{K} AuctionDaySalePrediction:7", f"""
   SELECT a.PropertyId, a.AuctionId, a.VenueId, 1 / (1 + exp(-(c.Intercept + {_Z}))) AS AuctionDaySalePrediction
   FROM feature a JOIN coef_auction_day_sale c ON a.PropertyState = c.PropertyState""")(_predicted)
+
+# ---- whole jobs ------------------------------------------------------------------------------------
+
+
+def _published_job(wh):
+    root = f"{shared_dir(wh.spark)}/job-{uuid.uuid4().hex}"
+    jobs.publish_predictions(wh, _coefficients(wh), _lookup(wh), P, root, 1)
+    return commits.read_current(wh.spark, root)
+
+
+add("job_publish_predictions", f"{K} MostRecentData:i AuctionDaySalePrediction:7 Negative1", "current_table")(_published_job)
+
+
+def _training_job(wh):
+    """Files of the training job, with outside estimates, acceptance models and a second population: every listing that is scored, and how
+    many of the rules for published figures it breaks."""
+    folder = _folder(wh)
+    accepted = wh.spark.sql(tt.ACCEPTANCE_MODELS.replace("FROM region", "FROM {region}"), region=wh["region"])
+    second = impute.second_population(upcoming_rows(wh), ["Reserve"])
+    jobs.train_and_write(training(wh), train.REO, P, folder, _reo_estimates(wh), second, accepted)
+    c = {n: number(F.col(n)) for n in (*train.REO.labels.values(), "HighBidPrediction", "ReserveRedux", "AcceptancePrediction", "StartingBid", "Reserve")}
+    day, seller, exceed = (c[n] for n in train.REO.labels.values())
+    band = scoring.likelihood_band(day)
+    broken = [day < seller, seller < exceed, ~day.between(0, 1), ~c["AcceptancePrediction"].between(0, 1), c["HighBidPrediction"] < c["StartingBid"],
+              (c["ReserveRedux"] != 0) & (day >= 0.5), F.col("SaleLikelihood") != band, F.col("Neg1") == F.col("Neg2"), c["HighBidPrediction"].isNull()]
+    parts = []
+    for name in ("short", "second"):
+        rows = wh.spark.read.option("header", True).option("nullValue", "NA").csv(f"{folder}/{name}")
+        total = sum((F.coalesce(b, F.lit(False)).cast("int") for b in broken), F.lit(0))
+        parts.append(rows.groupBy(F.lit(name).alias("Output")).agg(F.countDistinct("GlobalPropertyId", "AuctionId", "VenueId").alias("Listings"), F.count("*").alias("Rows"),
+                                                                    F.sum(total).alias("Broken")))
+    models_ = wh.spark.read.parquet(f"{folder}/coefficients").select(F.concat("model", F.lit(" "), "status").alias("Output"), "PropertyState").distinct()
+    fits = models_.groupBy("Output").agg(F.lit(0).alias("Listings"), F.count("*").alias("Rows"), F.lit(0).alias("Broken"))
+    return parts[0].unionByName(parts[1]).unionByName(fits)
+
+
+add("job_train_and_write", "Output Listings:i Rows:i Broken:i")(_training_job)

@@ -231,7 +231,7 @@ class TestTables(dict):
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _KEPT:
-            _KEPT[key] = settle(build())
+            _KEPT[key] = settle(build(), keep=True)  # outlives the workspace of a job that asks for it first
         return _KEPT[key]
 
     def __missing__(self, name: str) -> DataFrame:

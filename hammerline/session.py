@@ -41,15 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="hammerline-"))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def settle(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; with ``keep`` beside the open workspace, not in it.
 
     The copy outlives lost executors, is never recomputed, and has a known file size, so Spark itself
     broadcasts it in a later join when it is below ``spark.sql.autoBroadcastJoinThreshold`` and
     shuffles it (with skew splitting) when it is not. No join in this package carries a broadcast hint.
     """
     spark = df.sparkSession
-    folder = (_runs.get(spark.sparkContext.applicationId) or [shared_dir(spark)])[-1]
+    folder = shared_dir(spark) if keep else (_runs.get(spark.sparkContext.applicationId) or [shared_dir(spark)])[-1]
     path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
