@@ -390,7 +390,7 @@ def _newton_pass(standard: DataFrame, terms: Sequence[str], labels: Sequence[str
             else:
                 row["step"] += 1
                 row["loss"] = np.inf  # another penalty has another loss
-        elif last:
+        if last and row["status"] == RUNNING:
             row["status"] = STOPPED
         row["beta"] = fresh
         out = pd.DataFrame([row])
