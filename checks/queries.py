@@ -6,6 +6,8 @@ import dataclasses
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from checks.roles import TestTables
 from hammerline.functions import scoring as sf
 from hammerline.functions.scoring import TIMES, term_value
 from hammerline.functions.columns import number
-from hammerline.operators import bidders, commits, explain, features as fx, history, impute, models, publish, report, rolling, scoring
+from hammerline.operators import bidders, commits, explain, features as fx, history, impute, models, publish, report, rolling, scoring, spelling
 from hammerline.params import LISTING_KEY, Params
 from hammerline.plans import jobs, nontrustee, train, trustee
 from hammerline.session import settle, shared_dir
@@ -775,6 +777,38 @@ add("predict_from_long_table", f"{K} AuctionDaySalePrediction:7", f"""
   SELECT a.PropertyId, a.AuctionId, a.VenueId, 1 / (1 + exp(-(c.Intercept + {_Z}))) AS AuctionDaySalePrediction
   FROM feature a JOIN coef_auction_day_sale c ON a.PropertyState = c.PropertyState""")(_predicted)
 
+# ---- keys in mixed case -----------------------------------------------------------------------------
+
+
+def _mixed(wh):
+    """The warehouse with its text keys in mixed case, given one spelling again."""
+    def shaken(table, column, by):
+        return wh[table].withColumn(column, F.when(F.col(by) % 3 == 0, F.upper(column)).when(F.col(by) % 3 == 1, F.lower(column)).otherwise(F.initcap(column)))
+
+    odd = {"dim_bidder": shaken("dim_bidder", "bidderemail", "BidderId"), "dim_seller": shaken("dim_seller", "SellerCode", "SellerId"),
+           "dim_trustee": shaken("dim_trustee", "TrusteeCode", "TrusteeId"), "dim_property": shaken("dim_property", "PropertyState", "PropertyId")}
+    return spelling.unify(spelling.Respelled(wh, odd))
+
+
+def _lowered(df, column):
+    return df.withColumn(column, F.lower(column))
+
+
+def _mixed_budget(wh):
+    odd = _mixed(wh)
+    return _lowered(bidders.bidder_budget(_history(odd)), "bidderemail")
+
+
+add("mixed_case_seller_portfolio", f"SellerCode {_RATE}", "SELECT lower(SellerCode) AS SellerCode, AvgSTR, TotalAuctioned FROM seller_rate")(
+    lambda wh: _lowered(history.seller_portfolio(_live(wh), _mixed(wh)["dim_seller"], P), "SellerCode"))
+add("mixed_case_trustee_portfolio", f"TrusteeCode {_RATE}", "SELECT lower(TrusteeCode) AS TrusteeCode, AvgSTR, TotalAuctioned FROM trustee_rate")(
+    lambda wh: _lowered(history.trustee_portfolio(_recent_trustee(wh), _mixed(wh)["dim_trustee"], P), "TrusteeCode"))
+add("mixed_case_zip_sell_through", f"PropertyState PropertyZip {_RATE}",
+    "SELECT lower(PropertyState) AS PropertyState, PropertyZip, AvgSTR, TotalAuctioned FROM zip_rate")(
+    lambda wh: _lowered(history.zip_sell_through(_live(wh), _mixed(wh)["dim_property"], P), "PropertyState"))
+add("mixed_case_bidder_budget", "bidderemail AssetsBidUpon:i AvgMaxBid:7 AvgWinRate:6 FallOutRate:6 AvgReserve:7 AvgBPO:7",
+    "SELECT lower(bidderemail) AS bidderemail, AssetsBidUpon, AvgMaxBid, AvgWinRate, FallOutRate, AvgReserve, AvgBPO FROM budget")(_mixed_budget)
+
 # ---- whole jobs ------------------------------------------------------------------------------------
 
 
@@ -797,12 +831,19 @@ def _training_job(wh):
     c = {n: number(F.col(n)) for n in (*train.REO.labels.values(), "HighBidPrediction", "ReserveRedux", "AcceptancePrediction", "StartingBid", "Reserve")}
     day, seller, exceed = (c[n] for n in train.REO.labels.values())
     band = scoring.likelihood_band(day)
+    names = list(explain.SECOND_POPULATION_FAULT_NAMES.values())
+    shared = {n for n in names if names.count(n) > 1} | {explain.NO_FAULT}
     broken = [day < seller, seller < exceed, ~day.between(0, 1), ~c["AcceptancePrediction"].between(0, 1), c["HighBidPrediction"] < c["StartingBid"],
-              (c["ReserveRedux"] != 0) & (day >= 0.5), F.col("SaleLikelihood") != band, F.col("Neg1") == F.col("Neg2"), c["HighBidPrediction"].isNull()]
+              (c["ReserveRedux"] != 0) & (day >= 0.5), F.col("SaleLikelihood") != band,
+              # two variables may go by one name
+              (F.col("Neg1") == F.col("Neg2")) & ~F.col("Neg1").isin(*shared)]
+    # a listing without one of a model's facts has no prediction; the main file holds complete listings alone, whose short form leaves the facts out
+    facts = sorted({f for t in (*train.REO.terms, *train.REO.price_terms) for f in t.split(TIMES)})
     parts = []
     for name in ("short", "second"):
         rows = wh.spark.read.option("header", True).option("nullValue", "NA").csv(f"{folder}/{name}")
-        total = sum((F.coalesce(b, F.lit(False)).cast("int") for b in broken), F.lit(0))
+        unknown = reduce(or_, [number(F.col(f)).isNull() for f in facts]) if name == "second" else F.lit(False)
+        total = sum((F.coalesce(b, F.lit(False)).cast("int") for b in (*broken, c["HighBidPrediction"].isNull() != unknown)), F.lit(0))
         parts.append(rows.groupBy(F.lit(name).alias("Output")).agg(F.countDistinct("GlobalPropertyId", "AuctionId", "VenueId").alias("Listings"), F.count("*").alias("Rows"),
                                                                     F.sum(total).alias("Broken")))
     models_ = wh.spark.read.parquet(f"{folder}/coefficients").select(F.concat("model", F.lit(" "), "status").alias("Output"), "PropertyState").distinct()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
@@ -19,6 +21,7 @@ DEFAULTS = {
 
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()  # applications whose Python workers have the package
 _runs: dict[str, list[str]] = {}  # open workspaces of each application, the innermost last
 
 
@@ -28,7 +31,29 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package's Python files to the workers of a session, once, so that it need not be installed on the executors.
+
+    ``session`` does it; call it for a session that was started otherwise and without ``--py-files``. Spark serves the archive from its own folder
+    on the driver, and an executor that starts later fetches it too.
+    """
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # an archive that --py-files brought is with the workers already
+        archive = os.path.join(spark.sparkContext._temp_dir, "hammerline.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(package):
+                for name in (n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+    _shipped.add(spark.sparkContext.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
