@@ -557,12 +557,74 @@ def _reo_estimates(wh):
     return _estimates(wh).withColumn("GlobalPropertyId", F.col("GlobalPropertyId") + 500000)
 
 
+_FIT_LINES = {"reo": train.REO, "pre_reserve": train.PRE_RESERVE, "trustee": train.TRUSTEE}
+
+
+def _fitted(wh, name):
+    """Every scored listing of one product line; a session fits each line once."""
+    line = _FIT_LINES[name]
+
+    def fit():
+        rows = wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)) if line.trustee else training(wh)
+        return train.fit_and_score(rows, line, P, _reo_estimates(wh) if name == "reo" else None).full
+    return wh.once(f"scored_{name}", fit)
+
+
 add("fit_and_score", _FITTED + "AuctionDaySalePrediction:4 SellerAcceptedSalePrediction:4 ExceedReservePrediction:4 HighBidPrediction:2 ReserveRedux:2")(
-    lambda wh: train.fit_and_score(training(wh), train.REO, P, _reo_estimates(wh)).full)
+    lambda wh: _fitted(wh, "reo"))
 add("fit_and_score_pre_reserve", _FITTED + "AuctionDaySalePrediction:4 SellerAcceptedSalePrediction:4 ExceedReservePrediction:4")(
-    lambda wh: train.fit_and_score(training(wh), train.PRE_RESERVE, P).full)
+    lambda wh: _fitted(wh, "pre_reserve"))
 add("fit_and_score_trustee", _FITTED + "ThirdPartySalePrediction:4 PostponePrediction:4 CancelPrediction:4 HighBidPrediction:2 ReserveRedux:2")(
-    lambda wh: train.fit_and_score(wh.once("feature_trustee", lambda: trustee.feature_row(wh, P)), train.TRUSTEE, P).full)
+    lambda wh: _fitted(wh, "trustee"))
+
+
+def _broken_rules(line, names=None):
+    """Rules for published figures that a scored listing breaks, as flags; values may be text."""
+    def c(name):
+        return number(F.col(name))
+
+    chance = [c(n) for n in line.labels.values()]
+    sale = c(line.labels[line.sale])
+    names = list((names or line.names).values())
+    shared = {n for n in names if names.count(n) > 1} | {explain.NO_FAULT}  # two variables may go by one name
+    rules = [~x.between(0, 1) for x in chance] + [F.col("SaleLikelihood") != scoring.likelihood_band(sale),
+                                                  (F.col("Neg1") == F.col("Neg2")) & ~F.col("Neg1").isin(*shared)]
+    if not line.trustee:
+        rules += [a < b for a, b in zip(chance, chance[1:])]
+    if line.price_terms:
+        rules += [c("HighBidPrediction") < c(line.opening), (c("ReserveRedux") != 0) & (sale >= 0.5), c("ReserveRedux") > 0,
+                  c("HighBidPrediction") > F.greatest(1.5 * c("Reserve"), F.lit(200_000.0), c(line.opening)) + 1e-6]
+    return [F.coalesce(r, F.lit(False)).cast("int") for r in rules]
+
+
+def _scored_rules(name):
+    line = _FIT_LINES[name]
+    figures = [*line.labels.values(), *(["HighBidPrediction", "ReserveRedux"] if line.price_terms else [])]
+
+    def build(wh):
+        missing = [F.col(f).isNull().cast("int") for f in figures]
+        return _fitted(wh, name).withColumn("Broken", sum((*_broken_rules(line), *missing), F.lit(0)))
+    return build
+
+
+def _scored_listings(source, required, extra=""):
+    """SQL: listings from the hold-out date on that have every fact a model asks for, once gaps are filled."""
+    filled = {"TotalActive": "_act", "Vacancy": "_vac", "Favorites": "_marks", "MedianPPSQFTDeviation": "_feet", "BPOSurplus": "Reserve",
+              "BPOSurplusPct": "nullif(Reserve, 0)"}
+    facts = " AND ".join(f"{filled.get(r, r)} IS NOT NULL" for r in required)
+    feet = "CASE WHEN HomeSquareFootage >= 100 THEN HomeSquareFootage END"
+    return f"""
+  SELECT PropertyId, AuctionId, VenueId, 0 AS Broken FROM (
+    SELECT *, coalesce(TotalActive, max(TotalActive) OVER s) AS _act, coalesce(Vacancy, max(Vacancy) OVER s) AS _vac,
+           coalesce({feet}, max({feet}) OVER s) AS _feet, Favorites / nullif(RunNum, 0) AS _marks
+    FROM {source} WINDOW s AS (PARTITION BY PropertyState)) q
+  WHERE AuctionDate >= DATE '2001-04-15' AND {facts}{extra}"""
+
+
+add("scored_listings", f"{K} Broken:i", _scored_listings("prepared", models.REQUIRED))(_scored_rules("reo"))
+add("scored_listings_pre_reserve", f"{K} Broken:i", _scored_listings("prepared", models.PRE_RESERVE_REQUIRED))(_scored_rules("pre_reserve"))
+add("scored_listings_trustee", f"{K} Broken:i", _scored_listings("prepared_trustee", models.TRUSTEE_REQUIRED, " AND IsAuction = 1"))(
+    _scored_rules("trustee"))
 
 # ---- logistic and elastic-net fits are optimal --------------------------------------------------
 
@@ -828,22 +890,15 @@ def _training_job(wh):
     accepted = wh.spark.sql(tt.ACCEPTANCE_MODELS.replace("FROM region", "FROM {region}"), region=wh["region"])
     second = impute.second_population(upcoming_rows(wh), ["Reserve"])
     jobs.train_and_write(training(wh), train.REO, P, folder, _reo_estimates(wh), second, accepted)
-    c = {n: number(F.col(n)) for n in (*train.REO.labels.values(), "HighBidPrediction", "ReserveRedux", "AcceptancePrediction", "StartingBid", "Reserve")}
-    day, seller, exceed = (c[n] for n in train.REO.labels.values())
-    band = scoring.likelihood_band(day)
-    names = list(explain.SECOND_POPULATION_FAULT_NAMES.values())
-    shared = {n for n in names if names.count(n) > 1} | {explain.NO_FAULT}
-    broken = [day < seller, seller < exceed, ~day.between(0, 1), ~c["AcceptancePrediction"].between(0, 1), c["HighBidPrediction"] < c["StartingBid"],
-              (c["ReserveRedux"] != 0) & (day >= 0.5), F.col("SaleLikelihood") != band,
-              # two variables may go by one name
-              (F.col("Neg1") == F.col("Neg2")) & ~F.col("Neg1").isin(*shared)]
+    broken = [*_broken_rules(train.REO, explain.SECOND_POPULATION_FAULT_NAMES),
+              F.coalesce(~number(F.col("AcceptancePrediction")).between(0, 1), F.lit(False)).cast("int")]
     # a listing without one of a model's facts has no prediction; the main file holds complete listings alone, whose short form leaves the facts out
     facts = sorted({f for t in (*train.REO.terms, *train.REO.price_terms) for f in t.split(TIMES)})
     parts = []
     for name in ("short", "second"):
         rows = wh.spark.read.option("header", True).option("nullValue", "NA").csv(f"{folder}/{name}")
         unknown = reduce(or_, [number(F.col(f)).isNull() for f in facts]) if name == "second" else F.lit(False)
-        total = sum((F.coalesce(b, F.lit(False)).cast("int") for b in (*broken, c["HighBidPrediction"].isNull() != unknown)), F.lit(0))
+        total = sum((*broken, (number(F.col("HighBidPrediction")).isNull() != unknown).cast("int")), F.lit(0))
         parts.append(rows.groupBy(F.lit(name).alias("Output")).agg(F.countDistinct("GlobalPropertyId", "AuctionId", "VenueId").alias("Listings"), F.count("*").alias("Rows"),
                                                                     F.sum(total).alias("Broken")))
     models_ = wh.spark.read.parquet(f"{folder}/coefficients").select(F.concat("model", F.lit(" "), "status").alias("Output"), "PropertyState").distinct()
@@ -851,4 +906,9 @@ def _training_job(wh):
     return parts[0].unionByName(parts[1]).unionByName(fits)
 
 
-add("job_train_and_write", "Output Listings:i Rows:i Broken:i")(_training_job)
+_JOB_MODELS = ("IsSold", "TrueSold", "AuctionReserveSuccess", "high_bid", "valuation")
+add("job_train_and_write", "Output Listings:i Rows:i Broken:i", f"""
+  SELECT 'short' AS Output, count(*) AS Listings, count(*) AS Rows, 0 AS Broken FROM ({_scored_listings("prepared", models.REQUIRED)}) t
+  UNION ALL SELECT 'second', count(*), count(*), 0 FROM feature_scoring
+  WHERE Reserve IS NOT NULL AND PropertyState IN (SELECT PropertyState FROM prepared)
+  """ + " ".join(f"UNION ALL SELECT '{m} converged', 0, count(DISTINCT PropertyState), 0 FROM prepared" for m in _JOB_MODELS))(_training_job)
