@@ -1,7 +1,7 @@
 """Sharding by best-fit decreasing: indivisible groups of equal texts enter the tightest shard that still holds them.
 
-Up to ``EXACT`` groups are packed one by one. Of more groups those over 1 / ``FINE`` of a shard are (there are at most ``FINE`` x shards
-of them); smaller ones are first gathered by hash into ``PARCELS`` parcels a shard, each an item in its own right. What reaches
+Groups over 1 / ``FINE`` of a shard are packed one by one (there are at most ``FINE`` x shards of them); smaller ones are first gathered
+by hash into ``PARCELS`` parcels a shard, each an item in its own right. That is so for every input, small or large. What reaches
 the driver is bounded by those parameters, whatever the corpus holds, and no group is ever divided. A parcel holds about 1 / ``PARCELS`` of
 a shard, so gathering costs no more than some such parts of balance. Shards are as even as the groups allow: a group larger than
 a fair share has a shard of its own, and the other shards share the rest evenly.
@@ -22,7 +22,6 @@ from hammerline.session import settle
 SHARDS = 40
 FINE = 200  # a group over this part of a shard is an item of its own
 PARCELS = 200  # parcels of smaller groups for each shard
-EXACT = 20_000  # so many groups are packed one by one, whatever their sizes
 OVERHEAD = 16
 
 
@@ -183,26 +182,27 @@ def assign(items: list[tuple], bins: int) -> dict:
     return {key: b for (key, _), b in zip(items, found, strict=True)}
 
 
-def shards(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text", n: int = SHARDS, exact: int = EXACT) -> DataFrame:
+def shards(df: DataFrame, id_col: str = DOC_ID, text_col: str = "text", n: int = SHARDS, exact: bool = False) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) under the law ``bytes``; rows with equal texts share a shard.
 
     Size is the UTF-8 bytes of the text plus 16. Null texts count as empty texts and belong with them. Slots run from 0 in every shard. Only sizes and digests of texts move, however long they are.
-    Repeated rows and null ids are rows like any other; an empty table gives an empty result.
+    Repeated rows and null ids are rows like any other; an empty table gives an empty result. ``exact`` packs every group one by one and gathers
+    none, which brings all groups to the driver: the caller's choice, never the input's.
     """
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = settle(df.select(F.col(id_col).alias(DOC_ID), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
                             F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("equal")))
     groups = settle(rows.groupBy("equal").agg(F.sum("size").alias("size")))
-    total, count = groups.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    least, parcels = total / (n * FINE) if count > exact else 0, n * PARCELS
+    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    least, parcels = 0 if exact else total / (n * FINE), n * PARCELS
     parcel = F.pmod(F.xxhash64("equal"), F.lit(parcels)).cast("int")
     large = [(r["equal"], r["size"]) for r in groups.filter(F.col("size") > least).collect()]
     small = [(r["parcel"], r["size"]) for r in groups.filter(F.col("size") <= least).groupBy(parcel.alias("parcel")).agg(F.sum("size").alias("size")).collect()]
     placed = assign([(("group", k), s) for k, s in large] + [(("parcel", str(k)), s) for k, s in small], n)
     by_group = spark.createDataFrame([(k, b) for (kind, k), b in placed.items() if kind == "group"], "equal string, group_shard int")
     by_parcel = spark.createDataFrame([(int(k), b) for (kind, k), b in placed.items() if kind == "parcel"], "parcel int, parcel_shard int")
-    # the tables have at most max(exact, n * FINE) and n * PARCELS rows
+    # unless ``exact``, the tables have at most n * FINE and n * PARCELS rows
     dealt = rows.withColumn("parcel", parcel).join(F.broadcast(by_group), "equal", "left").join(F.broadcast(by_parcel), "parcel", "left")
     dealt = dealt.select(DOC_ID, "size", "text_crc32", F.coalesce("group_shard", "parcel_shard").alias("shard"))
     return rank_within(dealt, "shard", [DOC_ID, "text_crc32", "size"], "slot").select(

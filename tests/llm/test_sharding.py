@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from hammerline.llm import sharding
 from tests.llm.conftest import rows_of
@@ -104,6 +105,20 @@ def test_parcels_are_as_even(spark):
     assert len(got) == 40 and got.max() <= 1.02 * got.mean()
 
 
+def test_small_and_large_inputs_go_by_one_rule(spark):
+    """A table of few groups is gathered into parcels as one of many is."""
+    texts = [f"text {k} " * (1 + k % 40) for k in range(12_000)]
+    few = list(enumerate(texts))
+    gathered = sharding.shards(spark.createDataFrame(few, "doc_id bigint, text string"))
+    # groups of one parcel, all far under the share of a shard that makes an item of its own, stay together
+    least = sum(len(t) + 16 for t in texts) / (sharding.SHARDS * sharding.FINE)
+    parcel = F.pmod(F.xxhash64(F.sha2(F.encode("text", "utf-8"), 256)), F.lit(sharding.SHARDS * sharding.PARCELS))
+    small = gathered.filter(F.col("size") <= least).select("doc_id", "shard").join(
+        spark.createDataFrame(few, "doc_id bigint, text string").select("doc_id", parcel.alias("parcel")), "doc_id")
+    spread = small.groupBy("parcel").agg(F.count("*").alias("n"), F.count_distinct("shard").alias("shards")).toPandas()
+    assert (spread.n > 1).sum() > 100 and (spread.shards == 1).all()
+
+
 def test_assign_against_bounds():
     r = random.Random(8)
     for _ in range(150):
