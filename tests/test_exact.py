@@ -72,6 +72,17 @@ def test_moments_and_fits_have_the_same_bits(spark):
         assert v == pytest.approx(math.fsum(x[:, i] * x[:, j]), rel=1e-9, abs=1e-7 * np.abs(x[:, i]).max() * np.abs(x[:, j]).max())
 
 
+def test_one_sum_in_other_parts_is_the_same_double(spark):
+    r = np.random.default_rng(7)
+    rows = []
+    for k, (high, middle, low) in enumerate(zip(r.integers(-2**20, 2**20, 300), r.integers(-2**39, 2**39, 300), r.integers(-2**39, 2**39, 300), strict=True)):
+        for more, less in ((0, 0), (1, 0), (0, 1), (-3, 2), (5, -7)):
+            rows.append((k, int(high) + more, int(middle) - more * 2**40 + less, int(low) - less * 2**40))
+    df = spark.createDataFrame(rows, "k int, high long, middle long, low long")
+    got = df.groupBy("k").agg(F.count_distinct(exact.joined(F.col("high"), F.col("middle"), F.col("low"))).alias("n"))
+    assert got.filter("n > 1").count() == 0
+
+
 def test_gram_against_fractions():
     r = np.random.default_rng(5)
     a, b = r.normal(size=(9000, 3)) * (1, 1e4, 1e-4), r.normal(size=(9000, 2)) * (1e3, 1)
