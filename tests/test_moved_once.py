@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import roles
-from hammerline.operators import bidders, history
+from hammerline.operators import bidders, features as fx, history
 from hammerline.params import Params
 
 
@@ -87,3 +87,50 @@ def test_bids_are_moved_once_before_they_meet_valuations(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows == [("a", 1, 17.0, 50.0), ("a", 2, 17.0, 70.0), ("b", 1, 18.0, 50.0), ("b", 2, 18.0, 70.0)]
     assert not re.search(r"hashpartitioning\(BidderId#\d+L?, PropertyId", plan)  # dealt by listing, not by bidder and listing and then by listing again
+
+
+def _no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_valuations_of_auctions_without_bids_are_not_moved(spark):
+    key = "PropertyId bigint, AuctionId bigint, VenueId bigint"
+    bids = spark.createDataFrame([(1, 1, 7, 1, 10.0, 1.0, 0, 5.0, 9.0, date(2014, 1, 1), date(2014, 1, 1))],
+                                 f"BidderId bigint, {key}, BidAmount double, WinningBid double, IsWinningBid int, StartingBid double, AuctionSellerReserve double, "
+                                 "AuctionDate date, BidEndDate date")
+    valued = spark.createDataFrame([(1, 7, 1, 50.0), *[(1, a, 1, 60.0) for a in range(100, 2000)], (1, None, 1, 1.0)], f"{key}, BPO double")
+    homes = spark.createDataFrame([(1, "c", 1, 1.0, 1.0, 1900, "z")],
+                                  "PropertyId bigint, PropertyCounty string, Bedrooms int, Baths double, LotSize double, YearBuilt int, PropertyZip string")
+    restore = _no_broadcast(spark)
+    try:
+        out = bidders.bidder_history(bids, valued, homes, spark.createDataFrame([(1, "a")], "BidderId bigint, bidderemail string"), Params(as_of=date(2014, 2, 1)))
+        assert [(r.AuctionId, r.BPO) for r in out.collect()] == [(7, 50.0)]
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        restore()
+    assert "_bits" in plan  # the table of bits stands between the valuations and their join
+
+
+def test_marks_are_dealt_once_and_only_those_of_listings(spark):
+    marks = spark.createDataFrame([(p, a, u) for p in range(6) for a in range(4) for u in (1, 2, 2, None)] + [(None, 1, 1), (1, None, 9)],
+                                  "PropertyId bigint, AuctionId bigint, UserId bigint")
+    listings = spark.createDataFrame([(1, 1), (1, 1), (4, 2), (None, 3)], "PropertyId bigint, AuctionId bigint")
+    restore = _no_broadcast(spark)
+    try:
+        for keys in (("PropertyId",), ("PropertyId", "AuctionId")):
+            want = history.favorites(history.only_for(marks, listings, keys), keys)
+            got = history.favorites_for(marks, listings, keys, history.key_bits(listings, keys[-1]))
+            assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+            assert not re.search(r"hashpartitioning\([^)]*UserId", got._jdf.queryExecution().executedPlan().toString())
+    finally:
+        restore()
+
+
+def test_monthly_tables_are_read_for_the_months_that_are_asked(spark, folder):
+    wh = roles.TestTables(spark, folder)
+    rows = spark.createDataFrame([("1", date(2001, 5, 1), 200105)], "PropertyZip string, MarketMonth date, PostalMonth int")
+    out = fx.join_market(rows, wh["market_metrics"], wh["postal_vacancy"], F.lit(date(2001, 4, 9)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(month_first,2001-04-01)" in plan and "GreaterThanOrEqual(yyyymm,200104)" in plan
