@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import roles
-from hammerline.operators import bidders, features as fx, history
+from hammerline.operators import bidders, features as fx, history, models
 from hammerline.params import Params
 
 
@@ -134,3 +134,16 @@ def test_monthly_tables_are_read_for_the_months_that_are_asked(spark, folder):
     out = fx.join_market(rows, wh["market_metrics"], wh["postal_vacancy"], F.lit(date(2001, 4, 9)))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(month_first,2001-04-01)" in plan and "GreaterThanOrEqual(yyyymm,200104)" in plan
+
+
+def test_passes_read_rows_that_are_scaled_already(spark, monkeypatch):
+    rows = [(f"S{k % 2}", k, 1, 1, float(k % 7), float(k % 5), float(k % 3 == 0), float(k % 2 and k % 5 > 1)) for k in range(400)]
+    df = spark.createDataFrame(rows, "PropertyState string, PropertyId long, AuctionId long, VenueId long, a double, b double, y double, w double")
+    seen, real = [], models._newton_pass
+    monkeypatch.setattr(models, "_newton_pass", lambda standard, *more: seen.append(standard) or real(standard, *more))
+    both = {tuple(r[:3]): r[3] for r in models.ridge_logistic(df, ["a", "b"], ["y", "w"]).collect()}  # w has one class in S0
+    assert seen and not any("Join" in s._jdf.queryExecution().optimizedPlan().toString() for s in seen)
+    for label in ("y", "w"):
+        for r in models.ridge_logistic(df, ["a", "b"], [label]).collect():
+            assert both.pop(tuple(r[:3])) == pytest.approx(r[3], rel=1e-6, abs=1e-9)
+    assert not both
