@@ -170,3 +170,13 @@ def test_matching_is_as_large_as_can_be():
         items = tuple(sorted(r.integers(21, 50, 9).tolist()))
         counts = {x: items.count(x) for x in items}
         assert packing.plan(counts, 60).sequences == len(items) - best(items)
+
+
+def test_plain_words_are_remembered_without_their_marks(library):
+    """One library call a word: a task that meets a word between ever new marks remembers the word, not each chunk."""
+    encoder = tokens.Encoder(tokens.default_path())
+    texts = [f"{a}Größe{b} {b}mist{a}, l'été 'so ('re ''d x's 3a a3" for a in ("", "(", '"', "-'", "''") for b in ("", ".", "',", "'")]
+    got = encoder.encode([t.encode() for t in [*texts, "", " \x0b", "<|endoftext|> mist."]])
+    assert [tokens.with_end(ids).tolist() for ids in got] == [library(t) for t in [*texts, "", " \x0b", "<|endoftext|> mist."]]
+    assert not {c for c in encoder.chunks if c.endswith("Größe.") and "'" not in c or c == "(Größe"}
+    assert {"größe", "mist"} <= set(encoder.words)
