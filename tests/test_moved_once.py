@@ -147,3 +147,18 @@ def test_passes_read_rows_that_are_scaled_already(spark, monkeypatch):
         for r in models.ridge_logistic(df, ["a", "b"], [label]).collect():
             assert both.pop(tuple(r[:3])) == pytest.approx(r[3], rel=1e-6, abs=1e-9)
     assert not both
+
+
+def test_bids_joined_with_homes_are_not_moved_again(spark, folder, p):
+    """Rows with all measures lie by property when they are grouped by e-mail and listing, and by e-mail and property."""
+    wh = roles.TestTables(spark, folder)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = bidders.bidder_history(wh["fact_bid_live"], wh["fact_residential"], wh["dim_property"], wh["dim_bidder"], p)
+        plan = bidders.bidder_budget(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    moved = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert any(m.startswith("PropertyId") for m in moved)
+    assert [m for m in moved if "bidderemail" in m] == [m for m in moved if re.fullmatch(r"bidderemail#\d+", m)] != []
