@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from hammerline.operators import history
 from hammerline.session import settle
 
@@ -51,3 +52,24 @@ def test_auctions_are_not_broadcast_for_the_listings_of_the_window(spark, p):
     assert broadcasts(out) == []
     every = history.recent_listings(listings(spark), auctions(spark), p)
     assert sorted((r.PropertyId, r.SystemAuctionId) for r in every.collect()) == [(k, f"SA{a}") for k in range(1, 5) for a in (1, 2)]
+
+
+def homes(spark):
+    rows = [(k, "AZ" if k < 3 else "NV", "c", str(k), "REO", 1, 1.0, 1.0, 1990) for k in (1, 2, 4, 5)]
+    return settle(spark.createDataFrame(rows, "PropertyId bigint, PropertyState string, PropertyCounty string, PropertyZip string, ProductType string, "
+                                              "Bedrooms int, Baths double, LotSize double, YearBuilt int"))
+
+
+@pytest.mark.parametrize("name, extra", [("event_sizes", ["EventSize", "StateEventSize"]), ("price_tercile_by_state", ["ValueLevel_Low"])])
+def test_neither_homes_nor_auctions_are_broadcast_for_all_listings(spark, monkeypatch, name, extra):
+    wh = {"fact_auction": listings(spark).withColumn("Reserve", F.col("PropertyId") * 10.0), "dim_property": homes(spark), "dim_auction": auctions(spark)}
+    with monkeypatch.context() as unwritten:
+        unwritten.setattr(queries, "settle", lambda df: df)
+        assert broadcasts(queries._priced(wh)) == []
+    out = queries.QUERIES[name].build(wh)
+    got = sorted(((r.PropertyId, r.AuctionId or 0), r.PropertyState, *[r[c] for c in extra]) for r in out.collect())
+    assert [g[:2] for g in got] == [((k, a), {1: "AZ", 2: "AZ", 4: "NV"}.get(k)) for k in range(1, 5) for a in range(4)]
+    if name == "event_sizes":
+        assert {(g[1], *g[2:]) for g in got if g[0][1]} == {("AZ", 12, 6), ("NV", 12, 3), (None, 12, 3)}
+    else:
+        assert {s: sum(g[2] for g in got if g[1] == s) for s in ("AZ", "NV", None)} == {"AZ": 3, "NV": 2, None: 2}
